@@ -49,28 +49,23 @@ def bin_key(bin_0: Column, bin_1: Column) -> Column:
 
 
 def number_text(value: Column) -> Column:
-    """Shortest decimal text of a double, plain from 1e-4 up to 1e16.
+    """Shortest decimal text of a double: plain from 1e-4 up, ``5e-05`` below.
 
     A cast alone would switch to ``5.0E-4`` below 1e-3 (positions near the
     meridian) and above 1e7.
     """
     size = F.abs(value)
-    text = value.cast("string")
-    exponent = F.regexp_replace(F.regexp_replace(F.regexp_replace(
-        text, r"\.0E", "E"), r"E(-?)(\d)$", "E$10$2"), r"E(\d)", "E+$1")
-    return (
-        F.when((value == 0) | ((size >= 1e-3) & (size < 1e7)), text)
-        .when((size >= 1e-4) & (size < 1e16), _plain_digits(value))
-        .otherwise(F.lower(exponent))
-    )
-
-
-def _plain_digits(value: Column) -> Column:
-    return F.call_function("format_number", value, F.lit("0.0###################"))
+    plain = F.call_function("format_number", value, F.lit("0.0###################"))
+    small = F.call_function("format_number", value, F.lit("0.####################E00"))
+    return (F.when((value == 0) | ((size >= 1e-3) & (size < 1e7)), value.cast("string"))
+            .when(size >= 1e-4, plain)
+            .otherwise(F.lower(small)))
 
 
 def wkt_point(first: Column, second: Column) -> Column:
-    return F.concat(F.lit("POINT("), number_text(first), F.lit(" "), number_text(second), F.lit(")"))
+    # A lambda keeps the rarely used branches out of the generated loop, which
+    # would otherwise grow past what the JVM compiles.
+    return F.concat(F.lit("POINT("), F.array_join(F.transform(F.array(first, second), number_text), " "), F.lit(")"))
 
 
 def trip_wkt(loc_0: Column, loc_1: Column) -> Column:

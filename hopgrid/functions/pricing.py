@@ -11,17 +11,22 @@ def round_money(amount: Column) -> Column:
     """Two decimals, judged on the exact binary value, ties to even.
 
     ``F.round`` works on the decimal text of the double and differs (2.675).
-    ``rint`` of the scaled value is right except next to a tie, where the
-    scaling itself may round; only those few rows pay for the text formatting.
+    Here the scaling error is kept: the amount is split into two halves whose
+    products with 100 are exact, so when the scaled value lands on a tie the
+    remainder tells which side the amount is on. Amounts from 4.5e13 up, whose
+    doubles are about as coarse as a cent, are returned as they are.
     """
     scaled = amount * 100.0
-    clear = (F.abs(F.abs(scaled - F.floor(scaled)) - 0.5) > 1e-6) & (F.abs(amount) < 1e7)
-    text = F.call_function("format_number", amount, F.lit("0.00"))
-    return (
-        F.when(clear, F.rint(scaled) / 100.0)
-        .when(F.abs(amount) < 1e15, text.try_cast("double"))
-        .otherwise(amount)
+    below = F.floor(scaled).cast("double")
+    spread = amount * 134217729.0  # 2 ** 27 + 1
+    high = spread - (spread - amount)
+    remainder = (amount - high) * 100.0 - (scaled - high * 100.0)
+    cents = (
+        F.when((scaled - below != 0.5) | (remainder == 0.0), F.rint(scaled))
+        .when(remainder > 0.0, below + 1.0)
+        .otherwise(below)
     )
+    return F.when(F.abs(amount) < 4.5e13, cents / 100.0).otherwise(amount)
 
 
 def customer_cost(offer: Column) -> Column:

@@ -75,8 +75,12 @@ def coordinate_payment(lines: DataFrame, by: str = "file", line: str = "line") -
 
 
 def latest_positions(positions: DataFrame, key: str | None = "id", order: tuple[str, ...] = ("ts",)) -> DataFrame:
-    """Newest position per key, or of all (``key=None``); streams run it in update mode."""
-    newest = F.max_by(F.struct("lon", "lat"), F.struct(*order)).alias("p")
-    last = F.max(order[0]).alias(order[0])
-    grouped = positions.groupBy(*([key] if key else [])).agg(newest, last)
-    return grouped.select(*([key] if key else []), "p.lon", "p.lat", order[0])
+    """Newest position per key, or of all (``key=None``); streams run it in update mode.
+
+    With a single ``order`` column the state of a key is a few fixed-width values.
+    """
+    newest = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    keys = [key] if key else []
+    return positions.groupBy(*keys).agg(
+        F.max_by("lon", newest).alias("lon"), F.max_by("lat", newest).alias("lat"),
+        F.max(order[0]).alias(order[0]))

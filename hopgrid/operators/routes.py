@@ -15,53 +15,53 @@ from hopgrid.operators.skew import balanced_join
 STRETCH = 50_000
 
 
-def segments(points: DataFrame, stretch: int = STRETCH) -> DataFrame:
-    """Consecutive points of each route with the distance between them.
+def _linked(points: DataFrame, stretch: int) -> DataFrame:
+    """Every point once, with the point that follows it on its route (NULL at the end).
 
     A route is cut into stretches of ``stretch`` index values, so a long route is
     sorted by many tasks; the few points at the ends of stretches are then
     linked to the next stretch.
     """
-    part = F.floor(F.col("idx") / F.lit(stretch)).alias("part")
+    point = F.struct("lon", "lat")
     within = Window.partitionBy("route", "part").orderBy("idx")
-    here = points.select("route", "idx", "lon", "lat", part).withColumns({
-        "next": F.lead(F.struct("lon", "lat")).over(within),
-        "opens": F.lag("idx").over(within).isNull(),
-    })
-    inner = here.where(F.col("next").isNotNull())
+    here = points.select("route", "idx", "lon", "lat", F.floor(F.col("idx") / F.lit(stretch)).alias("part"))
+    here = here.withColumns({"next": F.lead(point).over(within), "opens": F.lag("idx").over(within).isNull()})
+    columns = ("route", "idx", "lon", "lat", "next")
+    inner = here.where(F.col("next").isNotNull()).select(*columns)
     ends = here.where(F.col("next").isNull() | F.col("opens"))
     along = Window.partitionBy("route").orderBy("idx")
-    links = (ends.withColumn("after", F.lead(F.struct("lon", "lat")).over(along))
-             .where(F.col("next").isNull() & F.col("after").isNotNull()))
-    pairs = inner.select("route", "idx", "lon", "lat", "next").unionByName(
-        links.select("route", "idx", "lon", "lat", F.col("after").alias("next")))
-    return _with_length(pairs)
+    closing = ends.withColumn("after", F.lead(point).over(along)).where(F.col("next").isNull())
+    return inner.unionByName(closing.withColumn("next", F.col("after")).select(*columns))
 
 
-def segments_short(points: DataFrame) -> DataFrame:
-    """The same for routes known to fit one task (such as one file each): a single window."""
+def _linked_short(points: DataFrame) -> DataFrame:
+    """The same by a single window, for routes known to fit one task (such as one file each)."""
     along = Window.partitionBy("route").orderBy("idx")
-    pairs = points.select("route", "idx", "lon", "lat", F.lead(F.struct("lon", "lat")).over(along).alias("next"))
-    return _with_length(pairs.where(F.col("next").isNotNull()))
+    return points.select("route", "idx", "lon", "lat", F.lead(F.struct("lon", "lat")).over(along).alias("next"))
 
 
-def _with_length(pairs: DataFrame) -> DataFrame:
-    flat = pairs.select("route", "idx", "lon", "lat",
-                        F.col("next.lon").alias("next_lon"), F.col("next.lat").alias("next_lat"))
-    return flat.withColumn("segment_km", geo.haversine_km(
-        F.col("lon"), F.col("lat"), F.col("next_lon"), F.col("next_lat")))
+def _links(points: DataFrame, stretch: int | None) -> DataFrame:
+    return _linked_short(points) if stretch is None else _linked(points, stretch)
 
 
-def route_lengths(points: DataFrame, stretch: int | None = STRETCH) -> DataFrame:
-    """Length of each route in km and its point count; a single point has length 0.
+def _segment_km() -> Column:
+    return geo.haversine_km(F.col("lon"), F.col("lat"), F.col("next.lon"), F.col("next.lat"))
+
+
+def segments(points: DataFrame, stretch: int | None = STRETCH) -> DataFrame:
+    """Consecutive points of each route with the distance between them.
 
     ``stretch=None`` takes the single-window form.
     """
-    parts = segments_short(points) if stretch is None else segments(points, stretch)
-    # Every route keeps a row: the points themselves count along with length zero.
-    tagged = parts.select("route", "segment_km", F.lit(0).alias("one")).unionByName(
-        points.select("route", F.lit(0.0).alias("segment_km"), F.lit(1).alias("one")))
-    return tagged.groupBy("route").agg(F.sum("one").alias("points"), F.sum("segment_km").alias("length_km"))
+    linked = _links(points, stretch).where(F.col("next").isNotNull())
+    return linked.select("route", "idx", "lon", "lat", F.col("next.lon").alias("next_lon"),
+                         F.col("next.lat").alias("next_lat"), _segment_km().alias("segment_km"))
+
+
+def route_lengths(points: DataFrame, stretch: int | None = STRETCH) -> DataFrame:
+    """Length of each route in km and its point count; a single point has length 0."""
+    return _links(points, stretch).groupBy("route").agg(
+        F.count(F.lit(1)).alias("points"), F.coalesce(F.sum(_segment_km()), F.lit(0.0)).alias("length_km"))
 
 
 def driver_offers(drivers: DataFrame, lengths: DataFrame, policy: SplitPolicy = PRICED.split) -> DataFrame:
@@ -73,18 +73,22 @@ def driver_offers(drivers: DataFrame, lengths: DataFrame, policy: SplitPolicy =
 
 def pick_order(route: Column, idx: Column, seed: int) -> Column:
     """A shuffled order of the points of a route that is the same on every run."""
-    return F.md5(F.concat_ws(":", F.lit(str(seed)), route.cast("string"), idx.cast("string")))
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), route.cast("string"), idx.cast("string")))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def route_requests(points: DataFrame, seed: int = 0) -> DataFrame:
     """Per route a random point as pickup and the last point as dropoff.
 
-    Both are aggregates that shrink inside each map task; nothing is sorted.
+    All four are fixed-width hash aggregates that shrink inside each map task;
+    nothing is sorted and no route is gathered.
     """
-    point = F.array("lon", "lat")
-    order = F.struct(pick_order(F.col("route"), F.col("idx"), seed), "idx")
-    return points.groupBy("route").agg(
-        F.min_by(point, order).alias("location"), F.max_by(point, "idx").alias("dropoff_location"))
+    ordered = points.select("route", "idx", "lon", "lat", pick_order(F.col("route"), F.col("idx"), seed).alias("pick"))
+    found = ordered.groupBy("route").agg(
+        F.min_by("lon", "pick").alias("lon"), F.min_by("lat", "pick").alias("lat"),
+        F.max_by("lon", "idx").alias("last_lon"), F.max_by("lat", "idx").alias("last_lat"))
+    return found.select("route", F.array("lon", "lat").alias("location"),
+                        F.array("last_lon", "last_lat").alias("dropoff_location"))
 
 
 def passenger_requests(passengers: DataFrame, points: DataFrame, seed: int = 0,

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hopgrid.config import SplitPolicy
+from hopgrid.session import work_dir
 
 LEFT_BLOCK, RIGHT_BLOCK = "_left_block", "_right_block"
 
@@ -30,15 +31,14 @@ def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], policy: SplitPo
         *keys, parts("l").alias("left_parts"), parts("r").alias("right_parts"))
 
 
-def _materialised(hot: DataFrame, keys: list[str], policy: SplitPolicy) -> DataFrame | None:
+def _materialised(hot: DataFrame, policy: SplitPolicy) -> DataFrame | None:
     """The grid table, fixed once so both sides see the same one; None without hot keys."""
     spark = hot.sparkSession
-    rows = hot.take(policy.broadcast_keys + 1)
+    rows = hot.orderBy(F.desc("left_parts")).limit(policy.broadcast_keys + 1).collect()
     if not rows:
         return None
     if len(rows) <= policy.broadcast_keys:
         return F.broadcast(spark.createDataFrame(rows, hot.schema))
-    from hopgrid.session import work_dir
     path = work_dir(spark, "hot-keys")
     hot.write.parquet(path)
     return spark.read.parquet(path)
@@ -62,7 +62,7 @@ def split_sides(left: DataFrame, right: DataFrame, keys: list[str], policy: Spli
     """Both sides and the keys to join them on; unchanged when no key is hot."""
     if not policy.enabled:
         return left, right, keys
-    grid = _materialised(hot_keys(left, right, keys, policy), keys, policy)
+    grid = _materialised(hot_keys(left, right, keys, policy), policy)
     if grid is None:
         return left, right, keys
     left_parts = F.coalesce("left_parts", F.lit(1))

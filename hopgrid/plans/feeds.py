@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from hopgrid.config import PRICED
+from hopgrid.config import EXACT, PRICED
 from hopgrid.functions import geo, identity, pricing
 from hopgrid.operators import match as m
 from hopgrid.operators import records
@@ -63,11 +63,11 @@ def message_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def message_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both window lengths of each message, next to its bin."""
     flat = messages.flatten_roles(*e.messages(spark, sf_dir))
-    bins = m.with_bins(flat, PRICED)
-    return bins.select(
+    flat = m.with_window(m.with_bins(flat, PRICED), PRICED).withColumnRenamed(m.SLOT, "long")
+    flat = m.with_window(flat, EXACT).withColumnRenamed(m.SLOT, "short")
+    return flat.select(
         "event_id", "bin_0", "bin_1", geo.bin_key(F.col("bin_0"), F.col("bin_1")).alias("bin_key"),
-        F.unix_seconds(F.window("ts", "15 seconds")["start"]).alias("window_15"),
-        F.unix_seconds(F.window("ts", "10 seconds")["start"]).alias("window_10"))
+        F.unix_seconds("long").alias("window_15"), F.unix_seconds("short").alias("window_10"))
 
 
 def _republished(raw: DataFrame) -> DataFrame:

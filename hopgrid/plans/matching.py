@@ -127,12 +127,12 @@ _SQL = {
 
 def _counts_sql(seconds: int, first: str, second: str, names: str) -> str:
     return f"""WITH {e.EVENT_SQL},
-both AS (SELECT sec, {first} AS x, {second} AS y, 1 AS a, 0 AS b FROM d
+sides AS (SELECT sec, {first} AS x, {second} AS y, 1 AS a, 0 AS b FROM d
          UNION ALL SELECT sec, {first}, {second}, 0, 1 FROM p)
 SELECT {e.EPOCH} + (sec // {seconds}) * {seconds} AS window_start, x AS {names}_0, y AS {names}_1,
        cast(sum(a) AS bigint) AS drivers, cast(sum(b) AS bigint) AS passengers,
        cast(sum(a) * sum(b) AS bigint) AS pairs
-FROM both GROUP BY sec // {seconds}, x, y"""
+FROM sides GROUP BY sec // {seconds}, x, y"""
 
 
 _COLLAPSED = f"""WITH {e.TRIPS_SQL}

@@ -55,37 +55,37 @@ def parse_messages(raw: DataFrame) -> DataFrame:
     ``has_plate`` / ``has_passenger`` tell whether the key is present, which a
     JSON null also is. Other columns of the raw frame are kept.
     """
-    text = F.col("value").cast("string")
     keep = [F.col(name) for name in raw.columns if name != "value"]
-    # The text is parsed as a member of a wrapper object, so that text after the
-    # closing brace counts as malformed.
-    wrapped = F.from_json(
-        F.concat(F.lit('{"m":'), F.coalesce(F.col("text"), F.lit("")), F.lit("}")),
-        f"m struct<{_struct_fields(MESSAGE_SCHEMA)}>, corrupt string",
-        {"columnNameOfCorruptRecord": "corrupt", "allowSingleQuotes": "false"},
-    )
-    keys = F.json_object_keys(F.col("text"))
-    parsed = (
-        raw.select(text.alias("text"), *keep)
-        .withColumn("parsed", wrapped)
-        .withColumn("keys", keys)
-    )
-    m = F.col("parsed.m")
-    has_plate = _has_key("plate_id", m)
-    has_passenger = _has_key("passenger_id", m)
+    texts = raw.select(F.col("value").cast("string").alias("value"), *keep)
+    # A generator, as filters on its output are not merged into it: each text is parsed once.
+    parsed = texts.select("*", F.inline(F.array(_wrapped(MESSAGE_SCHEMA))))
+    has_plate, has_passenger = _has_key("plate_id"), _has_key("passenger_id")
+    # Only texts that failed are parsed again, to tell bad JSON from a bad type.
+    strict = F.from_json(_in_wrapper(), "m string, corrupt string", _JSON)
     reason = (
-        F.when(~F.is_valid_utf8(F.col("text")), "invalid_utf8")
-        .when(F.col("text").isNull() | (F.col("parsed.corrupt").isNotNull() & F.col("keys").isNull()),
-              "malformed_json")
-        .when(F.col("parsed.corrupt").isNotNull(), "wrong_type")
-        .when(m.isNull(), "malformed_json")
+        F.when(F.col("value").isNull(), "malformed_json")
+        .when(~F.is_valid_utf8(F.col("value")), "invalid_utf8")
+        .when(F.col("corrupt").isNotNull(),
+              F.when(strict["corrupt"].isNotNull(), "malformed_json").otherwise("wrong_type"))
+        .when(F.col("m").isNull(), "malformed_json")
         .when(~(has_plate | has_passenger), "no_id")
-        .when(~_is_point(m["location"]), "bad_location")
+        .when(~_is_point(F.col("m.location")), "bad_location")
     )
     return parsed.select(
-        F.col("text").alias("value"), "parsed.m.*", has_plate.alias("has_plate"),
-        has_passenger.alias("has_passenger"), reason.alias("reject_reason"),
-        *keep)
+        "value", "m.*", has_plate.alias("has_plate"), has_passenger.alias("has_passenger"),
+        reason.alias("reject_reason"), *keep)
+
+
+_JSON = {"columnNameOfCorruptRecord": "corrupt", "allowSingleQuotes": "false"}
+
+
+def _in_wrapper() -> Column:
+    """The text as a member of an object, so that text after its closing brace is malformed."""
+    return F.concat(F.lit('{"m":'), F.coalesce("value", F.lit("")), F.lit("}"))
+
+
+def _wrapped(schema: str) -> Column:
+    return F.from_json(_in_wrapper(), f"m struct<{_struct_fields(schema)}>, corrupt string", _JSON)
 
 
 def _struct_fields(schema: str) -> str:
@@ -93,9 +93,12 @@ def _struct_fields(schema: str) -> str:
                      (part.strip().split(" ", 1) for part in schema.split(",")))
 
 
-def _has_key(name: str, message: Column) -> Column:
-    listed = F.coalesce(F.array_contains(F.col("keys"), name), F.lit(False))
-    return listed | message[name].isNotNull()
+def _has_key(name: str) -> Column:
+    """Whether the key is there; only a key whose value is null needs the list of keys."""
+    text = F.col("value")
+    may_be_null = text.contains(f'"{name}"') | text.contains("\\u")
+    listed = F.coalesce(F.array_contains(F.json_object_keys(text), name), F.lit(False))
+    return F.coalesce(F.col(f"m.{name}").isNotNull() | (may_be_null & listed), F.lit(False))
 
 
 def _is_point(location: Column) -> Column:
