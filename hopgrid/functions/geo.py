@@ -12,7 +12,9 @@ def haversine_km(lon_a: Column, lat_a: Column, lon_b: Column, lat_b: Column) ->
     half_dlon = F.sin((F.radians(lon_b) - F.radians(lon_a)) / 2)
     half_dlat = F.sin((F.radians(lat_b) - F.radians(lat_a)) / 2)
     chord = half_dlat * half_dlat + F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * half_dlon * half_dlon
-    return F.asin(F.least(F.sqrt(chord), F.lit(1.0))) * 2.0 * EARTH_RADIUS_KM
+    # ``least`` would turn a missing coordinate into 1.
+    bounded = F.when(chord > 1.0, F.lit(1.0)).otherwise(chord)
+    return F.asin(F.sqrt(bounded)) * 2.0 * EARTH_RADIUS_KM
 
 
 def trip_distance_km(from_0: Column, from_1: Column, to_0: Column, to_1: Column) -> Column:
