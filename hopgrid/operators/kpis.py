@@ -93,20 +93,36 @@ def money_from_messages(drivers: DataFrame, passengers: DataFrame, cfg: MatchCon
 
 def matched_drivers_from_messages(drivers: DataFrame, passengers: DataFrame,
                                   cfg: MatchConfig = PRICED) -> DataFrame:
-    """Drivers with a match of some distance, by a semi join that stops at the first partner."""
+    """Drivers with a match of some distance, without forming the pairs.
+
+    The best-paying passenger of a window and bin decides for nearly every
+    driver there: whoever is too dear for that offer has no match, and the
+    others have one unless that dropoff is where they stand. Only those last
+    ones are compared with all dropoffs.
+    """
     keys = [SLOT, "bin_0", "bin_1"]
-    left = with_bins(with_window(drivers, cfg), cfg).select(
+    cars = with_bins(with_window(drivers, cfg), cfg).select(
         *keys, "plate_id", F.col("ride_offer").alias("driver_offer"),
         F.get("location", F.lit(0)).alias("driver_0"), F.get("location", F.lit(1)).alias("driver_1"))
-    right = with_bins(with_window(passengers, cfg), cfg).select(
+    riders = with_bins(with_window(passengers, cfg), cfg).select(
         *keys, F.col("ride_offer").alias("passenger_offer"),
         F.get("dropoff_location", F.lit(0)).alias("dropoff_0"),
         F.get("dropoff_location", F.lit(1)).alias("dropoff_1"))
-    distance = pricing.round_money(geo.trip_distance_km(
-        F.col("driver_0"), F.col("driver_1"), F.col("dropoff_0"), F.col("dropoff_1")))
-    partner = pricing.offers_compatible(
-        F.col("driver_offer"), F.col("passenger_offer"), cfg.min_offer_share) & (distance != 0.0)
-    return balanced_join(left, right, keys, cfg.split, partner, semi=True).agg(
+    compatible = pricing.offers_compatible(F.col("driver_offer"), F.col("passenger_offer"), cfg.min_offer_share)
+    # From here on two decimals are not 0.00.
+    far = geo.trip_distance_km(
+        F.col("driver_0"), F.col("driver_1"), F.col("dropoff_0"), F.col("dropoff_1")) >= 0.005
+
+    best = riders.groupBy(*keys).agg(
+        F.max_by("dropoff_0", "passenger_offer").alias("dropoff_0"),
+        F.max_by("dropoff_1", "passenger_offer").alias("dropoff_1"),
+        F.max("passenger_offer").alias("passenger_offer"))
+    judged = balanced_join(cars, best, keys, cfg.split, compatible).withColumn("far", F.coalesce(far, F.lit(False)))
+    near = judged.where(~F.col("far")).groupBy(*keys, "plate_id", "driver_0", "driver_1").agg(
+        F.min("driver_offer").alias("driver_offer"))
+    dropoffs = riders.groupBy(*keys, "dropoff_0", "dropoff_1").agg(F.max("passenger_offer").alias("passenger_offer"))
+    rest = balanced_join(near, dropoffs, keys, SplitPolicy(enabled=False), compatible & far, semi=True)
+    return judged.where("far").select("plate_id").unionByName(rest.select("plate_id")).agg(
         F.count_distinct("plate_id").alias("matched"))
 
 

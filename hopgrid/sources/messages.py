@@ -119,7 +119,7 @@ def rejected(parsed: DataFrame) -> DataFrame:
 
 def check_for_match(parsed: DataFrame, *, priced: bool = True) -> DataFrame:
     """Also turn away messages that a matcher could not use."""
-    no_offer = F.lit(priced) & F.col("ride_offer").isNull()
+    no_offer = F.lit(priced) & (F.col("ride_offer").isNull() | F.isnan("ride_offer"))
     no_dropoff = F.col("has_passenger") & ~_is_point(F.col("dropoff_location"))
     return parsed.withColumn("reject_reason", F.coalesce(
         F.col("reject_reason"),

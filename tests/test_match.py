@@ -135,3 +135,16 @@ def test_null_places_never_match(spark):
     drivers = [(1, "1234ABC", 1.0, None, at(0)), (2, "1234ABC", 1.0, [float("nan"), 1.0], at(0))]
     passengers = [(3, "12345678A", 1.0, None, None, at(0)), (4, "12345678A", 1.0, [float("nan"), 1.0], [1.0, 1.0], at(0))]
     assert m.match_priced(*frames(spark, drivers, passengers)).count() == 0
+
+
+def test_drivers_standing_at_a_dropoff(spark):
+    """The best offer leads to where the car stands; a lower one leads away, or none does."""
+    here, away = (-0.37, 39.47), (-0.30, 39.50)
+    drivers = [driver(1, 0, *here, 2.0, "1111AAA"), driver(2, 20, *here, 2.0, "2222AAA"), driver(3, 40, *here, 2.0, "3333AAA"),
+               driver(4, 60, *here, 9.0, "4444AAA")]
+    passengers = [passenger(11, 0, *here, 9.0, drop=here), passenger(12, 0, *here, 1.5, drop=away),
+                  passenger(13, 20, *here, 9.0, drop=here), passenger(14, 20, *here, 1.4, drop=away),
+                  passenger(15, 40, *here, 1.5, drop=away), passenger(16, 60, *here, 5.0, drop=away)]
+    sides = frames(spark, drivers, passengers)
+    assert kpis.matched_drivers_from_messages(*sides).first()[0] == 2
+    assert kpis.matched_drivers(m.match_priced(*sides)).first()[0] == 2

@@ -66,6 +66,8 @@ def test_messages_a_matcher_cannot_use(spark):
     no_offer = {**DRIVER, "ride_offer": None}
     parsed = parse(spark, *[json.dumps(m) for m in (DRIVER, no_offer, PASSENGER, no_drop)])
     assert reasons(s.check_for_match(parsed)) == [None, "no_offer", None, "bad_dropoff"]
+    nan = json.dumps(DRIVER).replace("1.48", "NaN")
+    assert reasons(s.check_for_match(parse(spark, nan))) == ["no_offer"]
     assert reasons(s.check_for_match(parsed, priced=False)) == [None, None, None, "bad_dropoff"]
 
 
