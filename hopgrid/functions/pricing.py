@@ -16,6 +16,12 @@ def round_money(amount: Column) -> Column:
     remainder tells which side the amount is on. Amounts from 4.5e13 up, whose
     doubles are about as coarse as a cent, are returned as they are.
     """
+    # The lambda evaluates the amount once; written out, the amount's own
+    # expression would be repeated at each of its uses below.
+    return F.get(F.transform(F.array(amount), _cents_rounded), F.lit(0))
+
+
+def _cents_rounded(amount: Column) -> Column:
     scaled = amount * 100.0
     below = F.floor(scaled).cast("double")
     spread = amount * 134217729.0  # 2 ** 27 + 1

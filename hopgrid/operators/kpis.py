@@ -57,8 +57,12 @@ def matching_status(drivers: DataFrame, trips: DataFrame) -> DataFrame:
 
 
 def _driver_figures(drivers: DataFrame, trips: DataFrame) -> DataFrame:
-    """One row; each input is a global aggregate, so the join is one row with one row."""
-    return enrolled_drivers(drivers).join(matched_drivers(trips))
+    """Both distinct counts from one shuffle of ids that map tasks have already thinned out."""
+    ids = drivers.select(F.lit("enrolled").alias("list"), F.col("plate_id").alias("id")).unionByName(
+        moved(trips).select(F.lit("matched").alias("list"), F.col("driver_id").alias("id")))
+    return ids.where(F.col("id").isNotNull()).distinct().agg(
+        F.count_if(F.col("list") == "enrolled").alias("enrolled"),
+        F.count_if(F.col("list") == "matched").alias("matched"))
 
 
 def income_and_volume(trips: DataFrame) -> DataFrame:

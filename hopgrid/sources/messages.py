@@ -98,7 +98,8 @@ def _has_key(name: str) -> Column:
     text = F.col("value")
     may_be_null = text.contains(f'"{name}"') | text.contains("\\u")
     listed = F.coalesce(F.array_contains(F.json_object_keys(text), name), F.lit(False))
-    return F.coalesce(F.col(f"m.{name}").isNotNull() | (may_be_null & listed), F.lit(False))
+    # CASE, not OR: operands of OR that occur twice are computed ahead for every row.
+    return F.when(F.col(f"m.{name}").isNotNull(), True).when(may_be_null, listed).otherwise(False)
 
 
 def _is_point(location: Column) -> Column:
