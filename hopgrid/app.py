@@ -20,12 +20,16 @@ from pyspark.sql.streaming import StreamingQuery
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from hopgrid.config import EXACT, PRICED  # noqa: E402
-from hopgrid.operators.records import republished  # noqa: E402
+from hopgrid.operators.records import driver_rows, passenger_rows, republished  # noqa: E402
 from hopgrid.session import build_session  # noqa: E402
-from hopgrid.sinks.tables import send_to_files, send_to_topic  # noqa: E402
-from hopgrid.sources.messages import kafka_messages, parse_messages, replay_messages  # noqa: E402
+from hopgrid.sinks.tables import append_stream, send_to_files, send_to_topic  # noqa: E402
+from hopgrid.sources.messages import (  # noqa: E402
+    accepted, kafka_messages, parse_messages, replay_messages, split_roles)
 from hopgrid.streaming.match import MATCHERS, match_messages, start_match  # noqa: E402
 
+# How long a car or passenger is remembered, so that its repeated messages give one row.
+REPEAT_SPAN = "1 hour"
+
 
 def parse_arguments(arguments: list[str]) -> argparse.Namespace:
     parser = argparse.ArgumentParser(description="Match drivers and passengers as their messages arrive.")
@@ -43,6 +47,8 @@ def parse_arguments(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument("--trip-ids", choices=["random", "stable"])
     parser.add_argument("--map-topic", help="topic that readable messages are passed on to")
     parser.add_argument("--map-folder", help="the same into text files")
+    parser.add_argument("--drivers-table", help="folder to append a row per driver to")
+    parser.add_argument("--passengers-table", help="folder to append a row per passenger to")
     parser.add_argument("--once", action="store_true")
     options = parser.parse_args(arguments)
     if not options.replay and not (options.servers and options.driver_topic and options.passenger_topic):
@@ -73,6 +79,13 @@ def start(spark: SparkSession, options: argparse.Namespace) -> list[StreamingQue
         queries.append(send_to_topic(values, options.servers, options.map_topic, f"{options.checkpoint}/map", trigger))
     if options.map_folder:
         queries.append(send_to_files(values, options.map_folder, f"{options.checkpoint}/map-files", trigger))
+    drivers, passengers = split_roles(accepted(parse_messages(source(spark, options))))
+    tables = ((options.drivers_table, drivers, driver_rows), (options.passengers_table, passengers, passenger_rows))
+    for path, messages, rows in tables:
+        if path:
+            recent = messages.withWatermark("ts", REPEAT_SPAN)
+            queries.append(append_stream(rows(recent, dedupe=True), path,
+                                         f"{options.checkpoint}/{rows.__name__}", trigger=trigger))
     return queries
 
 

@@ -9,10 +9,14 @@ from hopgrid.functions import geo, pricing
 from hopgrid.sources.routes import coordinate_numbers, is_coordinate_line
 
 
-def driver_rows(drivers: DataFrame) -> DataFrame:
-    """Rows of the ``drivers`` table; nobody is aboard unless the message says so."""
+def driver_rows(drivers: DataFrame, *, dedupe: bool = False) -> DataFrame:
+    """Rows of the ``drivers`` table; nobody is aboard unless the message says so.
+
+    ``dedupe`` is for streams, see ``passenger_rows``; figures count distinct cars anyway.
+    """
     aboard = F.coalesce("passengers", F.lit(0)) if "passengers" in drivers.columns else F.lit(0)
-    return drivers.select("plate_id", "seats", aboard.alias("passengers"))
+    once = _once(drivers, "plate_id") if dedupe else drivers
+    return once.select("plate_id", "seats", aboard.alias("passengers"))
 
 
 def passenger_rows(passengers: DataFrame, *, dedupe: bool = False) -> DataFrame:
@@ -20,17 +24,25 @@ def passenger_rows(passengers: DataFrame, *, dedupe: bool = False) -> DataFrame:
 
     The struct stores the second element under ``longitude`` as the table always
     has; ``unswap_location`` reads it back. With ``dedupe`` only the earliest
-    message of each passenger is kept, else one row per message.
+    message of each passenger is kept, else one row per message; a stream keeps
+    the first to arrive while the watermark has not passed it.
     """
     location = F.struct(F.get("location", F.lit(1)).alias("longitude"),
                         F.get("location", F.lit(0)).alias("latitude"))
-    if not dedupe:
-        return passengers.select("passenger_id", location.alias("location"), "ride_offer")
+    if not dedupe or passengers.isStreaming:
+        rows = _once(passengers, "passenger_id") if dedupe else passengers
+        return rows.select("passenger_id", location.alias("location"), "ride_offer")
     row = F.struct(location.alias("location"), F.col("ride_offer"))
     first = F.min_by(row, F.struct("ts", row)).alias("row")
     return passengers.groupBy("passenger_id").agg(first).select("passenger_id", "row.location", "row.ride_offer")
 
 
+def _once(messages: DataFrame, key: str) -> DataFrame:
+    if not messages.isStreaming:
+        return messages.dropDuplicates([key])
+    return messages.dropDuplicatesWithinWatermark([key])
+
+
 def to_json_messages(records: DataFrame, key: Column | None = None) -> DataFrame:
     """``value`` JSON text of each record (and ``key``), as a topic takes it."""
     value = F.to_json(F.struct(*records.columns)).alias("value")

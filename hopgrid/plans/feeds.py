@@ -170,8 +170,7 @@ def wkt_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     small = (F.col("event_id") % 100) * F.lit(0.000013)
     frame = e.read_events(spark, sf_dir).select("event_id", geo.trip_wkt(small, e.lat()).alias("wkt"))
     first, second = geo.wkt_pair(F.col("wkt"))
-    return frame.select("event_id", "wkt", first.alias("first"), F.when(
-        F.col("event_id") % 100 > 9, second).alias("second"))
+    return frame.select("event_id", "wkt", first.alias("first"), second.alias("second"))
 
 
 def ids_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,8 +273,10 @@ FROM ev""",
        round({e.haversine_sql('lat', 'lon', 'drop_1', 'drop_0')}, 6) AS trip_km, round({_PLANAR}, 6) AS planar_km,
        {_PLANAR} <= 0.1::double AS close,
        abs(lon - drop_0) <= 0.00027027::double AND abs(lat - drop_1) <= 0.00027027::double AS near FROM ev2""",
-    "wkt_texts": _W + """SELECT event_id, 'POINT(' || lat::varchar || ' ' || small::varchar || ')' AS wkt,
-       lat AS first, CASE WHEN event_id % 100 > 9 THEN small END AS second
-FROM (SELECT *, (event_id % 100) * 0.000013::double AS small FROM ev)""",
+    "wkt_texts": _W + r"""
+SELECT event_id, wkt, n[1]::double AS first, n[2]::double AS second FROM (
+  SELECT event_id, wkt, regexp_extract_all(wkt, '[-+]?\d*\.\d+|\d+') AS n FROM (
+    SELECT event_id, 'POINT(' || lat::varchar || ' ' || ((event_id % 100) * 0.000013::double)::varchar || ')' AS wkt
+    FROM ev))""",
     "ids_checked": """SELECT event_id, event_id % 3 <> 0 AS plate_ok, event_id % 3 <> 1 AS passenger_ok FROM events""",
 }

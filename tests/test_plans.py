@@ -55,12 +55,16 @@ def test_app_matches_recorded_messages(spark, tmp_path):
     raw_messages(read_events(spark, SMALL)).select("value", "ts").write.parquet(str(tmp_path / "raw"))
     options = app.parse_arguments([
         "--replay", str(tmp_path / "raw"), "--trips", str(tmp_path / "trips"), "--checkpoint", str(tmp_path / "cp"),
-        "--map-folder", str(tmp_path / "map"), "--once", "--trip-ids", "stable", "--lateness", "10 seconds"])
+        "--map-folder", str(tmp_path / "map"), "--drivers-table", str(tmp_path / "drivers"),
+        "--passengers-table", str(tmp_path / "passengers"), "--once", "--trip-ids", "stable", "--lateness", "10 seconds"])
     assert app.configuration(options).lateness == "10 seconds" and app.configuration(options).window_seconds == 15
     for query in app.start(spark, options):
         query.awaitTermination()
     trips = spark.read.parquet(str(tmp_path / "trips"))
     assert trips.count() == entry(spark).count()
     assert spark.read.text(str(tmp_path / "map")).count() > 0
+    for name, key in (("drivers", "plate_id"), ("passengers", "passenger_id")):
+        table = spark.read.parquet(str(tmp_path / name))
+        assert table.count() == table.select(key).distinct().count() > 1
     with pytest.raises(SystemExit):
         app.parse_arguments(["--trips", "x", "--checkpoint", "y"])
