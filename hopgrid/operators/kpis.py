@@ -79,14 +79,16 @@ def money_from_messages(drivers: DataFrame, passengers: DataFrame, cfg: MatchCon
     """
     keys = [SLOT, "bin_0", "bin_1"]
 
+    cars, riders = (with_bins(with_window(messages, cfg), cfg) for messages in (drivers, passengers))
+
     def counted(messages: DataFrame, name: str) -> DataFrame:
-        return (with_bins(with_window(messages, cfg), cfg)
-                .groupBy(*keys, F.col("ride_offer").alias(f"{name}_offer"))
+        return (messages.groupBy(*keys, F.col("ride_offer").alias(f"{name}_offer"))
                 .agg(F.count(F.lit(1)).alias(f"{name}_rows")))
 
     pairs = balanced_join(
-        counted(drivers, "driver"), counted(passengers, "passenger"), keys, cfg.split,
-        pricing.offers_compatible(F.col("driver_offer"), F.col("passenger_offer"), cfg.min_offer_share))
+        counted(cars, "driver"), counted(riders, "passenger"), keys, cfg.split,
+        pricing.offers_compatible(F.col("driver_offer"), F.col("passenger_offer"), cfg.min_offer_share),
+        sized_by=(cars, riders))
     weight = F.col("driver_rows") * F.col("passenger_rows")
     offer = F.col("passenger_offer")
     return pairs.agg(
@@ -121,7 +123,8 @@ def matched_drivers_from_messages(drivers: DataFrame, passengers: DataFrame,
         F.max_by("dropoff_0", "passenger_offer").alias("dropoff_0"),
         F.max_by("dropoff_1", "passenger_offer").alias("dropoff_1"),
         F.max("passenger_offer").alias("passenger_offer"))
-    judged = balanced_join(cars, best, keys, cfg.split, compatible).withColumn("far", F.coalesce(far, F.lit(False)))
+    judged = balanced_join(cars, best, keys, cfg.split, compatible, sized_by=(cars, None)).withColumn(
+        "far", F.coalesce(far, F.lit(False)))
     near = judged.where(~F.col("far")).groupBy(*keys, "plate_id", "driver_0", "driver_1").agg(
         F.min("driver_offer").alias("driver_offer"))
     dropoffs = riders.groupBy(*keys, "dropoff_0", "dropoff_1").agg(F.max("passenger_offer").alias("passenger_offer"))
@@ -174,5 +177,5 @@ def passenger_of_trips(passengers: DataFrame, trips: DataFrame,
     """``find_passenger`` for all trips at once: first stored position per passenger."""
     stored = passengers.groupBy("passenger_id").agg(F.min("location").alias("location"))
     return unswap_location(balanced_join(
-        trips.select("trip_id", "passenger_id"), stored, ["passenger_id"], policy))
+        trips.select("trip_id", "passenger_id"), stored, ["passenger_id"], policy, sized_by=(trips, None)))
 

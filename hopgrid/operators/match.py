@@ -256,14 +256,13 @@ def collapsed_matches(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfi
     are counted before the join and the counts multiplied after it.
     """
     keys = [SLOT, "bin_0", "bin_1"]
-    left = (with_bins(with_window(drivers, cfg), cfg)
-            .groupBy(*keys, F.col("plate_id").alias("driver_id"), F.col("ride_offer").alias("driver_offer"))
+    cars, riders = (with_bins(with_window(messages, cfg), cfg) for messages in (drivers, passengers))
+    left = (cars.groupBy(*keys, F.col("plate_id").alias("driver_id"), F.col("ride_offer").alias("driver_offer"))
             .agg(F.count(F.lit(1)).alias("driver_rows")))
-    right = (with_bins(with_window(passengers, cfg), cfg)
-             .groupBy(*keys, "passenger_id", F.col("ride_offer").alias("passenger_offer"))
+    right = (riders.groupBy(*keys, "passenger_id", F.col("ride_offer").alias("passenger_offer"))
              .agg(F.count(F.lit(1)).alias("passenger_rows")))
     compatible = pricing.offers_compatible(F.col("driver_offer"), F.col("passenger_offer"), cfg.min_offer_share)
-    pairs = balanced_join(left, right, keys, cfg.split, compatible)
+    pairs = balanced_join(left, right, keys, cfg.split, compatible, sized_by=(cars, riders))
     cost = pricing.customer_cost(F.col("passenger_offer"))
     return (pairs.withColumn("cost", cost)
             .groupBy("driver_id", "passenger_id", geo.bin_key(F.col("bin_0"), F.col("bin_1")).alias("bin_key"))

@@ -66,7 +66,7 @@ def route_lengths(points: DataFrame, stretch: int | None = STRETCH) -> DataFrame
 
 def driver_offers(drivers: DataFrame, lengths: DataFrame, policy: SplitPolicy = PRICED.split) -> DataFrame:
     """``full_tariff`` and ``ride_offer`` of drivers (``plate_id, seats, route``) from their route."""
-    joined = balanced_join(drivers, lengths.select("route", "length_km"), ["route"], policy)
+    joined = balanced_join(drivers, lengths.select("route", "length_km"), ["route"], policy, sized_by=(drivers, None))
     priced = joined.withColumn("full_tariff", pricing.route_tariff(F.col("length_km")))
     return priced.withColumn("ride_offer", pricing.seat_offer(F.col("full_tariff"), F.col("seats"))).drop("length_km")
 
@@ -96,7 +96,8 @@ def passenger_requests(passengers: DataFrame, points: DataFrame, seed: int = 0,
     """Requests of passengers (``passenger_id, ride_offer, route``): pickup and dropoff on their route."""
     ends = route_requests(points, seed)
     empty = F.array().cast("array<double>")
-    return balanced_join(passengers, ends, ["route"], policy).withColumn("pick_location", empty)
+    return balanced_join(passengers, ends, ["route"], policy, sized_by=(passengers, None)).withColumn(
+        "pick_location", empty)
 
 
 def trajectories(drivers: DataFrame, points: DataFrame, start: Column, interval_seconds: int = 5,

@@ -12,14 +12,20 @@ from hopgrid.session import work_dir
 LEFT_BLOCK, RIGHT_BLOCK = "_left_block", "_right_block"
 
 
-def hot_keys(left: DataFrame, right: DataFrame, keys: list[str], policy: SplitPolicy) -> DataFrame:
-    """Keys whose pairs should be shared by several tasks, with the grid size per side."""
+def hot_keys(left: DataFrame, right: DataFrame | None, keys: list[str], policy: SplitPolicy) -> DataFrame:
+    """Keys whose pairs should be shared by several tasks, with the grid size per side.
+
+    ``right=None`` stands for a side with one row per key.
+    """
     fraction = policy.sample_fraction
-    sides = (left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r"))
-             .unionByName(right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r"))))
+    sides = left.select(*keys, F.lit(1).alias("l"), F.lit(0).alias("r"))
+    if right is not None:
+        sides = sides.unionByName(right.select(*keys, F.lit(0).alias("l"), F.lit(1).alias("r")))
+    sides = sides.dropna(subset=keys)  # a missing key has no partner
     if fraction < 1.0:
         sides = sides.sample(fraction, seed=17)
-    counts = sides.groupBy(*keys).agg((F.sum("l") / fraction).alias("l"), (F.sum("r") / fraction).alias("r"))
+    right_rows = F.sum("r") / fraction if right is not None else F.lit(1.0)
+    counts = sides.groupBy(*keys).agg((F.sum("l") / fraction).alias("l"), right_rows.alias("r"))
 
     def parts(rows: str) -> Column:
         return F.least(F.greatest(F.ceil(F.col(rows) / policy.block_rows), F.lit(1)),
@@ -57,12 +63,11 @@ def _spread(side: DataFrame, own: Column, other: Column, own_block: str, other_b
 
 
 def split_sides(left: DataFrame, right: DataFrame, keys: list[str], policy: SplitPolicy,
-                left_spread: list[str] | None = None, right_spread: list[str] | None = None,
-                ) -> tuple[DataFrame, DataFrame, list[str]]:
+                sized_by: tuple[DataFrame, DataFrame | None]) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both sides and the keys to join them on; unchanged when no key is hot."""
     if not policy.enabled:
         return left, right, keys
-    grid = _materialised(hot_keys(left, right, keys, policy), policy)
+    grid = _materialised(hot_keys(*sized_by, keys, policy), policy)
     if grid is None:
         return left, right, keys
     left_parts = F.coalesce("left_parts", F.lit(1))
@@ -71,10 +76,8 @@ def split_sides(left: DataFrame, right: DataFrame, keys: list[str], policy: Spli
     def with_grid(side: DataFrame) -> DataFrame:
         return side.join(grid, keys, "left")
 
-    left_out = _spread(with_grid(left), left_parts, right_parts, LEFT_BLOCK, RIGHT_BLOCK,
-                       left_spread or left.columns)
-    right_out = _spread(with_grid(right), right_parts, left_parts, RIGHT_BLOCK, LEFT_BLOCK,
-                        right_spread or right.columns)
+    left_out = _spread(with_grid(left), left_parts, right_parts, LEFT_BLOCK, RIGHT_BLOCK, left.columns)
+    right_out = _spread(with_grid(right), right_parts, left_parts, RIGHT_BLOCK, LEFT_BLOCK, right.columns)
     drop = ("left_parts", "right_parts")
     return left_out.drop(*drop), right_out.drop(*drop), [*keys, LEFT_BLOCK, RIGHT_BLOCK]
 
@@ -91,19 +94,22 @@ def fixed_split(left: DataFrame, right: DataFrame, keys: list[str], parts: int,
 
 
 def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], policy: SplitPolicy,
-                  condition: Column | None = None, *, stream_parts: int = 1,
-                  left_spread: list[str] | None = None, right_spread: list[str] | None = None,
-                  semi: bool = False) -> DataFrame:
+                  condition: Column | None = None, *, stream_parts: int = 1, semi: bool = False,
+                  sized_by: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
     """Inner join on ``keys`` and ``condition``; every pair comes out exactly once.
 
     Column names other than the keys must differ between the sides. With
     ``semi`` the left columns of rows that have a partner are returned; a row of
     a split key may then come out once per block.
+
+    ``sized_by`` names cheaper frames with the same keys to count hot keys on,
+    so that an aggregated side is not computed twice; None on the right stands
+    for one row per key.
     """
     if left.isStreaming or right.isStreaming:
         left, right, on = fixed_split(left, right, keys, stream_parts)
     else:
-        left, right, on = split_sides(left, right, keys, policy, left_spread, right_spread)
+        left, right, on = split_sides(left, right, keys, policy, sized_by or (left, right))
     if not semi:
         joined = left.join(right, on, "inner")
         joined = joined if condition is None else joined.where(condition)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -31,6 +32,11 @@ def build_session(app: str = "hopgrid", master: str | None = None,
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="hopgrid-")
+
+
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared ``spark.checkpoint.dir``.
 
@@ -40,6 +46,5 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="hopgrid-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = _local_dir()
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
