@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 from hopgrid.config import EARTH_RADIUS_KM, KM_PER_DEGREE, PICKUP_RADIUS_KM, WKT_NUMBER_PATTERN
@@ -12,9 +14,8 @@ def haversine_km(lon_a: Column, lat_a: Column, lon_b: Column, lat_b: Column) ->
     half_dlon = F.sin((F.radians(lon_b) - F.radians(lon_a)) / 2)
     half_dlat = F.sin((F.radians(lat_b) - F.radians(lat_a)) / 2)
     chord = half_dlat * half_dlat + F.cos(F.radians(lat_a)) * F.cos(F.radians(lat_b)) * half_dlon * half_dlon
-    # ``least`` would turn a missing coordinate into 1.
-    bounded = F.when(chord > 1.0, F.lit(1.0)).otherwise(chord)
-    return F.asin(F.sqrt(bounded)) * 2.0 * EARTH_RADIUS_KM
+    # At opposite ends of the globe rounding can lift the chord above 1, where asin is NaN.
+    return F.nanvl(F.asin(F.sqrt(chord)), F.lit(math.pi / 2)) * 2.0 * EARTH_RADIUS_KM
 
 
 def trip_distance_km(from_0: Column, from_1: Column, to_0: Column, to_1: Column) -> Column:

@@ -51,9 +51,13 @@ def _flat(requests: DataFrame) -> DataFrame:
 
 def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order is a driver whose course is its line items."""
+    # The order date has no zone; built from its parts it reads as UTC in any session.
+    date = F.col("o_orderdate")
+    seconds = (F.unix_date(date.cast("date")).cast("bigint") * 86400
+               + F.hour(date) * 3600 + F.minute(date) * 60 + F.second(date))
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.col("o_orderkey").alias("route"), F.col("o_custkey").alias("driver"),
-        F.col("o_orderdate").cast("timestamp").alias("start"))
+        F.timestamp_seconds(seconds).alias("start"))
     items = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         F.col("l_orderkey").alias("route"), F.col("l_linenumber").alias("idx"),
         (F.lit(-0.37) - (F.col("l_partkey") % 997) * F.lit(0.00005)).alias("lon"),
