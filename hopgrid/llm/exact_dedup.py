@@ -62,7 +62,8 @@ def directory(entries: DataFrame, capacity: int) -> DataFrame:
     spread = counts.select("slot", "n", F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))).alias("depth"))
     spread = spread.withColumn("prefix", F.expr(f"shiftrightunsigned(slot, {MAX_DEPTH} - depth)"))
     sizes = spread.groupBy("depth", "prefix").agg(F.sum("n").alias("size"))
-    fits = spread.join(sizes, ["depth", "prefix"]).where((F.col("size") <= capacity) | (F.col("depth") == MAX_DEPTH))
+    # At most 2**(MAX_DEPTH + 1) rows, whatever the input.
+    fits = spread.join(F.broadcast(sizes), ["depth", "prefix"]).where((F.col("size") <= capacity) | (F.col("depth") == MAX_DEPTH))
     return (fits.groupBy("slot").agg(F.min("depth").alias("depth"))
             .withColumn("bucket", F.expr(f"shiftleft(shiftrightunsigned(slot, {MAX_DEPTH} - depth), {MAX_DEPTH} - depth)")))
 

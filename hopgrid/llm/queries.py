@@ -8,6 +8,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hopgrid.llm.common import held_out, read_table
 from hopgrid.llm.exact_dedup import exact_duplicates
+from hopgrid.llm.simhash import near_duplicates
+
+
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
 
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
@@ -24,6 +30,7 @@ FROM normal JOIN groups USING (norm)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
 ORACLES: dict[str, str] = {
