@@ -9,6 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from hopgrid.llm.common import held_out, read_table
 from hopgrid.llm.exact_dedup import exact_duplicates
 from hopgrid.llm.simhash import near_duplicates
+from hopgrid.llm.suffix_dedup import remove_repeats
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,6 +35,7 @@ FROM normal JOIN groups USING (norm)
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
