@@ -4,18 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 
-from hopgrid.llm.common import held_out, read_table
+from hopgrid.llm.bpe import encode_decode
+from hopgrid.llm.common import read_table
 from hopgrid.llm.exact_dedup import exact_duplicates
+from hopgrid.llm.packing import pack
 from hopgrid.llm.simhash import near_duplicates
 from hopgrid.llm.suffix_dedup import remove_repeats
 
 
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+
+
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False).drop("ids")
+
+
+def op5_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_decode(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -36,6 +50,8 @@ FROM normal JOIN groups USING (norm)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op4_best_fit_packing": op4_best_fit_packing,
+    "op5_bpe_chunks": op5_bpe_chunks,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
