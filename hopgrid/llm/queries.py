@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hopgrid.llm.bpe import encode_decode
 from hopgrid.llm.common import read_table
 from hopgrid.llm.exact_dedup import exact_duplicates
+from hopgrid.llm.language import identify
 from hopgrid.llm.packing import pack
 from hopgrid.llm.simhash import near_duplicates
 from hopgrid.llm.suffix_dedup import remove_repeats
@@ -30,6 +31,10 @@ def op5_bpe_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(read_table(spark, sf_dir, "documents"), TOKENIZER, digests=True)
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(read_table(spark, sf_dir, "documents"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_chunks": op5_bpe_chunks,
+    "op6_language_id": op6_language_id,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
 }
