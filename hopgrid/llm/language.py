@@ -88,8 +88,11 @@ def learn_profiles(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     rows = docs.where(~held_out(doc_id) & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(
         F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"))
     counts = rows.mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    # First within shares of the n-grams, so that no task sorts all n-grams of a language.
+    share = Window.partitionBy("lang", F.pmod(F.xxhash64("gram"), F.lit(64))).orderBy(F.desc("n"), "gram")
     order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    return counts.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < PROFILE).drop("n")
+    best = counts.withColumn("rank", F.row_number().over(share)).where(F.col("rank") <= PROFILE)
+    return best.withColumn("rank", F.row_number().over(order) - 1).where(F.col("rank") < PROFILE).drop("n")
 
 
 class Profiles:
