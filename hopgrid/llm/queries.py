@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hopgrid.llm.bpe import encode_decode
 from hopgrid.llm.common import read_table
+from hopgrid.llm import embedding_dedup
 from hopgrid.llm.exact_dedup import exact_duplicates
 from hopgrid.llm.language import identify
 from hopgrid.llm.packing import pack
+from hopgrid.llm.sharding import shards
 from hopgrid.llm.simhash import near_duplicates
 from hopgrid.llm.suffix_dedup import remove_repeats
 
@@ -23,6 +25,14 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read_table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards(read_table(spark, sf_dir, "documents"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"), TOKENIZER, with_ids=False).drop("ids")
 
@@ -46,6 +56,21 @@ def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+OP2_SQL = """
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, label, list_transform(embedding, lambda v: v::DOUBLE) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda v: v IS NULL OR NOT isfinite(v))) = 0 AND len(list_filter(embedding, lambda v: v <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (sqrt(list_dot_product(a.e, a.e)) * sqrt(list_dot_product(b.e, b.e))) >= 0.93),
+reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+  least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id,
+  vec_id = least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS kept
+FROM embeddings
+"""
+
 OP8_SQL = f"""
 WITH normal AS (SELECT doc_id, sha256({NORMAL}) AS text_sha256, {NORMAL} AS norm FROM documents),
 groups AS (SELECT norm, min(doc_id) AS keep_id, count(*) AS group_size FROM normal GROUP BY norm)
@@ -55,6 +80,8 @@ FROM normal JOIN groups USING (norm)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_sharding": op3_sharding,
     "op4_best_fit_packing": op4_best_fit_packing,
     "op5_bpe_chunks": op5_bpe_chunks,
     "op6_language_id": op6_language_id,
@@ -62,5 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op2_embedding_dedup": OP2_SQL,
     "op8_exact_dedup": OP8_SQL,
 }
