@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hopgrid.llm.bpe import encode_decode
 from hopgrid.llm.common import read_table
-from hopgrid.llm import embedding_dedup
+from hopgrid.llm import embedding_dedup, toxicity
 from hopgrid.llm.exact_dedup import exact_duplicates
+from hopgrid.llm.html_extract import main_texts
 from hopgrid.llm.language import identify
 from hopgrid.llm.packing import pack
 from hopgrid.llm.sharding import shards
@@ -49,6 +50,15 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.learn(docs, read_table(spark, sf_dir, "labels")))
+
+
+def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_texts(read_table(spark, sf_dir, "pages"))
+
+
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 
@@ -87,6 +97,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op7_simhash": op7_simhash,
     "op8_exact_dedup": op8_exact_dedup,
+    "op9_toxicity": op9_toxicity,
+    "op10_html_extraction": op10_html_extraction,
 }
 ORACLES: dict[str, str] = {
     "op2_embedding_dedup": OP2_SQL,
