@@ -351,7 +351,10 @@ def training_rows(source: str) -> tuple[np.ndarray, np.ndarray] | None:
 def learn(pages: DataFrame, html_: str = "html") -> Trees | None:
     """Trees from at most SAMPLE pages."""
     clear = pages.where(F.lower(F.col(html_)).rlike("<(article|main)\\b"))
-    rows = clear.select(F.xxhash64(html_).alias("_h"), F.col(html_).alias("_html")).orderBy("_h").limit(SAMPLE).collect()
+    hashed = clear.select(F.xxhash64(html_).alias("_h"), F.col(html_).alias("_html"))
+    # Hashes first: tasks must not send SAMPLE whole pages each.
+    least = [r._h for r in hashed.select("_h").orderBy("_h").limit(SAMPLE).collect()]
+    rows = sorted(hashed.where(F.col("_h") <= least[-1]).dropDuplicates(["_h"]).collect()) if least else []
     found = [r for row in rows for source in training_pages(row._html, row._h % 2**32) if (r := training_rows(source)) is not None]
     found = [r for r in found if len(r[0])]
     if not found:
