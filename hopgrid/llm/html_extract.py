@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from hopgrid.llm.common import text_blocks
 
 SAMPLE, VARIANTS = 300, 3
-TREES, DEPTH, BINS, RATE = 60, 4, 32, 0.2
+TREES, DEPTH, BINS, RATE, RIDGE = 40, 4, 32, 0.2, 5.0
 
 # Kinds of tags, and attribute words that name page regions.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -247,8 +247,8 @@ class Trees:
                 left = np.cumsum(sums, 2)
                 whole = left[:, :, -1:]
                 right = whole - left
-                gain = left[0] ** 2 / (left[1] + 1) + right[0] ** 2 / (right[1] + 1) - whole[0] ** 2 / (whole[1] + 1)
-                gain[(left[1] < 1) | (right[1] < 1)] = 0
+                gain = left[0] ** 2 / (left[1] + RIDGE) + right[0] ** 2 / (right[1] + RIDGE) - whole[0] ** 2 / (whole[1] + RIDGE)
+                gain[(left[1] < RIDGE) | (right[1] < RIDGE)] = 0
                 at = gain.argmax(1)
                 top = gain[np.arange(width), at]
                 better = top > best
@@ -257,7 +257,7 @@ class Trees:
             node = 2 * node + 1 + (bins[np.arange(len(bins)), feature[node]] > cut[node])
         leaf = node - inner
         gs, hs = np.bincount(leaf, g, 2 ** DEPTH), np.bincount(leaf, h, 2 ** DEPTH)
-        return feature, cut, RATE * gs / (hs + 1)
+        return feature, cut, RATE * gs / (hs + RIDGE)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         bins = self._bins(x)
@@ -307,6 +307,13 @@ def training_pages(source: str, seed: int) -> list[str]:
         tag = str(rng.choice(["article", "main", "div", "section"]))
         name = f" class=\"{rng.choice(WORDS['main'].split())}\"" if tag in ("div", "section") or rng.random() < 0.5 else ""
         inner = body
+        if rng.random() < 0.5:
+            inner = re.sub(r"<h1.*?</h1\s*>", "", inner, flags=re.S)
+        if rng.random() < 0.5:
+            inner = re.sub(r"</?b>|<br>", "", inner)
+        if rng.random() < 0.5:  # an article of other length
+            paragraphs = re.split(r"(?=<p\b)", inner)
+            inner = "".join(p for p in paragraphs if rng.random() < 0.6) or inner
         if rng.random() < 0.5:  # boilerplate within the article
             paragraphs = re.split(r"(?=<p\b)", inner)
             k = int(rng.integers(0, len(paragraphs) + 1))

@@ -28,6 +28,7 @@ from hopgrid.llm.common import held_out, text_blocks
 PROFILE = 400      # n-grams of a profile
 OWN = 300          # n-grams of a document
 LONGEST = 4
+PREDICT_BYTES = 1 << 19   # text bytes whose n-grams are sorted in one step
 UNKNOWN = "und"
 LETTER = regex.compile(r"\p{L}")
 
@@ -107,7 +108,7 @@ class Profiles:
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         asked = [i for i, t in enumerate(texts) if t is not None and LETTER.search(t)] if self.langs else []
-        for low, high in text_blocks([texts[i] for i in asked]):
+        for low, high in text_blocks([texts[i] for i in asked], PREDICT_BYTES):
             block = asked[low:high]
             codes, owner = gram_codes([texts[i] for i in block])
             keys = np.sort((owner.astype(np.uint64) << np.uint64(32)) | codes)
@@ -162,10 +163,9 @@ def drop_unidentified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     """The rows of ``docs`` that have a language: not ``und``, and nearer to its profile than the largest distance."""
     model = Profiles(_profile_rows(docs, doc_id, text, lang))
 
-    @F.pandas_udf("boolean")
-    def known(texts):
-        import pandas as pd
-        names, scores = model.predict([None if t is None else t for t in texts])
-        return pd.Series([n != UNKNOWN and s > 0 for n, s in zip(names, scores)])
+    def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, scores = model.predict(batch.column(batch.schema.get_field_index(text)).to_pylist())
+            yield batch.filter(pa.array([n != UNKNOWN and s > 0 for n, s in zip(names, scores)], pa.bool_()))
 
-    return docs.where(known(F.col(text)))
+    return docs.mapInArrow(known, docs.schema)
