@@ -65,14 +65,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(langs, texts):
             rows.setdefault(lang, []).append(text)
         for lang, own in rows.items():
-            for low, high in text_blocks(own):
+            for low, high in text_blocks(own, PREDICT_BYTES):
                 grams, n = np.unique(gram_codes(own[low:high])[0], return_counts=True)
                 if lang in held:
                     both = np.concatenate([held[lang][0], grams])
                     grams, place = np.unique(both, return_inverse=True)
                     n = np.bincount(place, weights=np.concatenate([held[lang][1], n])).astype(np.int64)
                 held[lang] = grams, n
-        if sum(g.size for g, _ in held.values()) > 2_000_000:
+        if sum(g.size for g, _ in held.values()) > 1_000_000:
             yield from _counts(held)
             held = {}
     yield from _counts(held)
