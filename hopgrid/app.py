@@ -24,10 +24,9 @@ from hopgrid.operators.records import driver_rows, passenger_rows, republished
 from hopgrid.session import build_session  # noqa: E402
 from hopgrid.sinks.tables import append_stream, send_to_files, send_to_topic  # noqa: E402
 from hopgrid.sources.messages import (  # noqa: E402
-    accepted, kafka_messages, parse_messages, replay_messages, split_roles)
+    accepted, kafka_messages, parse_messages, rejected, replay_messages, split_roles)
 from hopgrid.streaming.match import MATCHERS, match_messages, start_match  # noqa: E402
 
-# How long a car or passenger is remembered, so that its repeated messages give one row.
 REPEAT_SPAN = "1 hour"
 
 
@@ -49,6 +48,9 @@ def parse_arguments(arguments: list[str]) -> argparse.Namespace:
     parser.add_argument("--map-folder", help="the same into text files")
     parser.add_argument("--drivers-table", help="folder to append a row per driver to")
     parser.add_argument("--passengers-table", help="folder to append a row per passenger to")
+    parser.add_argument("--repeat-span", default=REPEAT_SPAN,
+                        help="how long a car or passenger is remembered, so that its repeated messages give one row")
+    parser.add_argument("--rejects", help="folder to append unreadable messages to, with the reason")
     parser.add_argument("--once", action="store_true")
     options = parser.parse_args(arguments)
     if not options.replay and not (options.servers and options.driver_topic and options.passenger_topic):
@@ -83,9 +85,12 @@ def start(spark: SparkSession, options: argparse.Namespace) -> list[StreamingQue
     tables = ((options.drivers_table, drivers, driver_rows), (options.passengers_table, passengers, passenger_rows))
     for path, messages, rows in tables:
         if path:
-            recent = messages.withWatermark("ts", REPEAT_SPAN)
+            recent = messages.withWatermark("ts", options.repeat_span)
             queries.append(append_stream(rows(recent, dedupe=True), path,
                                          f"{options.checkpoint}/{rows.__name__}", trigger=trigger))
+    if options.rejects:
+        queries.append(append_stream(rejected(parse_messages(source(spark, options))), options.rejects,
+                                     f"{options.checkpoint}/rejects", trigger=trigger))
     return queries
 
 

@@ -43,7 +43,6 @@ class SplitPolicy:
     enabled: bool = True
     block_rows: int = 4096
     max_key_rows: int = 1_000_000
-    max_parts: int = 1024
     sample_fraction: float = 0.02
     broadcast_keys: int = 50_000
 

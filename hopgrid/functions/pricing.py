@@ -13,8 +13,10 @@ def round_money(amount: Column) -> Column:
     ``F.round`` works on the decimal text of the double and differs (2.675).
     Here the scaling error is kept: the amount is split into two halves whose
     products with 100 are exact, so when the scaled value lands on a tie the
-    remainder tells which side the amount is on. Amounts from 4.5e13 up, whose
-    doubles are about as coarse as a cent, are returned as they are.
+    remainder tells which side the amount is on. From 2 ** 46 up doubles lie
+    more than a cent apart, so the double nearest to the rounded amount is the
+    amount itself: there rounding changes nothing, and the scaled value, which
+    might overflow, is not needed.
     """
     # The lambda evaluates the amount once; written out, the amount's own
     # expression would be repeated at each of its uses below.
@@ -32,7 +34,7 @@ def _cents_rounded(amount: Column) -> Column:
         .when(remainder > 0.0, below + 1.0)
         .otherwise(below)
     )
-    return F.when(F.abs(amount) < 4.5e13, cents / 100.0).otherwise(amount)
+    return F.when(F.abs(amount) < 2.0 ** 46, cents / 100.0).otherwise(amount)
 
 
 def customer_cost(offer: Column) -> Column:

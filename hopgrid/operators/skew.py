@@ -28,8 +28,7 @@ def hot_keys(left: DataFrame, right: DataFrame | None, keys: list[str], policy:
     counts = sides.groupBy(*keys).agg((F.sum("l") / fraction).alias("l"), right_rows.alias("r"))
 
     def parts(rows: str) -> Column:
-        return F.least(F.greatest(F.ceil(F.col(rows) / policy.block_rows), F.lit(1)),
-                       F.lit(policy.max_parts)).cast("int")
+        return F.greatest(F.ceil(F.col(rows) / policy.block_rows), F.lit(1)).cast("int")
 
     many_pairs = F.col("l") * F.col("r") > float(policy.block_rows) ** 2
     many_rows = F.greatest("l", "r") > policy.max_key_rows

@@ -19,6 +19,10 @@ def test_money_is_rounded_on_the_exact_value(spark):
     values = [i / 1000 for i in range(-3000, 30000)] + [rng.uniform(-1e6, 1e6) for _ in range(5000)]
     values += [2.675, 1.005, -0.005, 0.0, 0.125, -0.125, 0.375, 1e6 + 0.005, 123456789.125, 3e13 + 0.125]
     assert column(spark, values, pricing.round_money) == [round(v, 2) for v in values]
+    rng = random.Random(7)
+    band = [45000000000000.015625, 2.0 ** 52 / 100, 2.0 ** 46 - 2.0 ** -7, 2.0 ** 46, 2.0 ** 46 + 2.0 ** -6]
+    band += [rng.choice((1, -1)) * rng.uniform(low, 2 * low) for low in (4e13, 4.4e13, 6e13, 1e14, 4e15) for _ in range(400)]
+    assert column(spark, band, pricing.round_money) == [round(v, 2) for v in band]
     odd = column(spark, [math.inf, -math.inf, 5e15 + 1, None], pricing.round_money)
     assert odd == [math.inf, -math.inf, 5e15 + 1, None]
 

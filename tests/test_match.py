@@ -21,15 +21,15 @@ def compatible(d, p):
 
 
 def test_trip_columns_and_values(spark):
-    drivers, passengers = frames(spark, [driver(1, 0, -0.34471, 39.45879, 1.48, "6965NFC")],
-                                 [passenger(2, 14, -0.34471, 39.45879, 2.55, "81062045O")])
+    drivers, passengers = frames(spark, [driver(1, 0, -0.34471, 39.45879, 1.48, "AB12")],
+                                 [passenger(2, 14, -0.34471, 39.45879, 2.55, "P-77")])
     trips = m.match_priced(drivers, passengers, geographic=True)
     row = trips.first().asDict()
     assert tuple(trips.columns) == (*m.TRIP_COLUMNS, "travelled_distance_geo", "pickup_wkt_lonlat")
     assert len(row.pop("trip_id")) == 36
     assert row == {
-        "bin_key": f"{int(-0.34471 / 0.00025)}_{int(39.45879 / 0.00025)}", "driver_id": "6965NFC",
-        "passenger_id": "81062045O", "pickup_location": "POINT(39.45879 -0.34471)",
+        "bin_key": f"{int(-0.34471 / 0.00025)}_{int(39.45879 / 0.00025)}", "driver_id": "AB12",
+        "passenger_id": "P-77", "pickup_location": "POINT(39.45879 -0.34471)",
         "dropoff_location": "POINT(39.478 -0.327)", "travelled_distance": 2.91, "status": "matched", "cost": 4.0,
         "company_margin": 0.76, "accepted_offer": 2.55, "travelled_distance_geo": 2.62,
         "pickup_wkt_lonlat": "POINT(-0.34471 39.45879)"}
@@ -52,7 +52,7 @@ def test_bins_around_zero_are_one_bin(spark):
 
 @pytest.mark.parametrize("policy", [SplitPolicy(enabled=False), SPLIT, dataclasses.replace(SPLIT, broadcast_keys=0),
                                     dataclasses.replace(SPLIT, sample_fraction=0.3),
-                                    dataclasses.replace(SPLIT, block_rows=1, max_parts=3)])
+                                    dataclasses.replace(SPLIT, block_rows=1)])
 def test_every_matcher_against_loops(spark, policy):
     drivers, passengers = crowd(3, 300, 8)
     sides = frames(spark, drivers, passengers)

@@ -8,8 +8,8 @@ from hopgrid.operators import records
 from hopgrid.sources import messages as s
 from messages import at
 
-DRIVER = {"plate_id": "6965NFC", "seats": 5, "full_tariff": 7.4, "ride_offer": 1.48, "location": [-0.34471, 39.45879]}
-PASSENGER = {"passenger_id": "81062045O", "pick_location": [], "location": [-0.34471, 39.45879], "ride_offer": 2.55,
+DRIVER = {"plate_id": "AB12", "seats": 5, "full_tariff": 7.4, "ride_offer": 1.48, "location": [-0.34471, 39.45879]}
+PASSENGER = {"passenger_id": "P-77", "pick_location": [], "location": [-0.34471, 39.45879], "ride_offer": 2.55,
              "dropoff_location": [-0.327, 39.478]}
 
 
@@ -33,8 +33,8 @@ def test_reject_reasons(spark):
         json.dumps({**DRIVER, "location": [1.0, 2.0, 3.0]}): "bad_location",
         json.dumps({**DRIVER, "location": [1.0, None]}): "bad_location",
         json.dumps({**DRIVER, "location": None}): "bad_location",
-        json.dumps({"plate_id": "6965NFC"}): "bad_location",
-        '{"plate_id": "6965NFC", "location": [NaN, 1.0]}': "bad_location",
+        json.dumps({"plate_id": "AB12"}): "bad_location",
+        '{"plate_id": "AB12", "location": [NaN, 1.0]}': "bad_location",
         json.dumps({**DRIVER, "location": [1, 2], "colour": {"deep": [1]}}): None,
     }
     assert dict(zip(cases, reasons(parse(spark, *cases)))) == cases
@@ -72,7 +72,7 @@ def test_messages_a_matcher_cannot_use(spark):
 
 
 def test_republished_text_is_unchanged(spark):
-    odd = '{"plate_id":  "6965NFC", "colour": "red", "location": [1, 2]}'
+    odd = '{"plate_id":  "AB12", "colour": "red", "location": [1, 2]}'
     parsed = parse(spark, odd, "{", '{"other": 1}', json.dumps({**DRIVER, "seats": "x"}))
     assert {r[0] for r in records.republished(parsed).collect()} == {
         odd, '{"other": 1}', json.dumps({**DRIVER, "seats": "x"})}
@@ -91,7 +91,7 @@ def test_points_and_positions(spark):
 def test_table_rows(spark):
     parsed = s.accepted(parse(spark, json.dumps(DRIVER), json.dumps(PASSENGER), json.dumps({**PASSENGER, "ride_offer": 1.0})))
     drivers, passengers = s.split_roles(parsed)
-    assert tuple(records.driver_rows(drivers).first()) == ("6965NFC", 5, 0)
+    assert tuple(records.driver_rows(drivers).first()) == ("AB12", 5, 0)
     aboard = drivers.withColumn("passengers", F.lit(2))
     assert records.driver_rows(aboard).first()["passengers"] == 2
     rows = records.passenger_rows(passengers)
@@ -100,7 +100,7 @@ def test_table_rows(spark):
     once = records.passenger_rows(passengers, dedupe=True).collect()
     assert len(once) == 1 and once[0]["ride_offer"] == 2.55
     text = records.to_json_messages(drivers.select(*s.DRIVER_FIELDS), F.col("plate_id")).first()
-    assert text["key"] == "6965NFC" and json.loads(text["value"]) == DRIVER
+    assert text["key"] == "AB12" and json.loads(text["value"]) == DRIVER
 
 
 def test_boarding(spark):

@@ -109,10 +109,10 @@ def test_boxes(spark):
     points = spark.createDataFrame([("a", 1.0, 2.0), ("a", -1.0, 5.0), ("b", 0.0, 0.0)], "g string, lon double, lat double")
     assert tuple(routes.bounding_box(points).first()) == (-1.0, 1.0, 0.0, 5.0)
     assert routes.bounding_box(points, ["g"]).where("g = 'a'").first()["min_lat"] == 2.0
-    corners = [(F.lit(x), F.lit(y)) for x, y in ((39.500095, -0.424033), (39.491574, -0.335757),
-                                                 (39.443477, -0.405057), (39.441132, -0.338529))]
+    corners = [(F.lit(x), F.lit(y)) for x, y in ((41.5, 2.25), (41.25, 2.75),
+                                                 (40.75, 2.0), (41.0, 2.5))]
     row = spark.range(1).select(*[c.alias(n) for n, c in routes.corner_box(*corners).items()]).first()
-    assert tuple(row) == (39.441132, 39.500095, -0.424033, -0.335757)
+    assert tuple(row) == (40.75, 41.5, 2.0, 2.75)
 
 
 def test_coordinate_payment(spark, tmp_path):
