@@ -128,7 +128,7 @@ def matched_drivers_from_messages(drivers: DataFrame, passengers: DataFrame,
     near = judged.where(~F.col("far")).groupBy(*keys, "plate_id", "driver_0", "driver_1").agg(
         F.min("driver_offer").alias("driver_offer"))
     dropoffs = riders.groupBy(*keys, "dropoff_0", "dropoff_1").agg(F.max("passenger_offer").alias("passenger_offer"))
-    rest = balanced_join(near, dropoffs, keys, SplitPolicy(enabled=False), compatible & far, semi=True)
+    rest = balanced_join(near, dropoffs, keys, cfg.split, compatible & far, semi=True, sized_by=(cars, riders))
     return judged.where("far").select("plate_id").unionByName(rest.select("plate_id")).agg(
         F.count_distinct("plate_id").alias("matched"))
 
@@ -174,8 +174,15 @@ def unswap_location(passengers: DataFrame) -> DataFrame:
 
 def passenger_of_trips(passengers: DataFrame, trips: DataFrame,
                        policy: SplitPolicy = PRICED.split) -> DataFrame:
-    """``find_passenger`` for all trips at once: first stored position per passenger."""
-    stored = passengers.groupBy("passenger_id").agg(F.min("location").alias("location"))
-    return unswap_location(balanced_join(
-        trips.select("trip_id", "passenger_id"), stored, ["passenger_id"], policy, sized_by=(trips, None)))
+    """``find_passenger`` for all trips at once, with one position per passenger: the smallest one stored.
+
+    Two fixed-width hash aggregates find it; the smallest struct would need a sort.
+    """
+    first, second = F.col("location.longitude").alias("first"), F.col("location.latitude").alias("second")
+    least = passengers.select("passenger_id", first, second).groupBy("passenger_id", "first").agg(
+        F.min("second").alias("second"))
+    stored = least.groupBy("passenger_id").agg(
+        F.min("first").alias("longitude"), F.min_by("second", "first").alias("latitude"))
+    joined = balanced_join(trips.select("trip_id", "passenger_id"), stored, ["passenger_id"], policy, sized_by=(trips, None))
+    return unswap_location(joined.select("trip_id", "passenger_id", F.struct("longitude", "latitude").alias("location")))
 

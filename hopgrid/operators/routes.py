@@ -6,32 +6,40 @@ route, is unique there, and may have gaps.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from hopgrid.config import PRICED, SplitPolicy
 from hopgrid.functions import geo, pricing
 from hopgrid.operators.skew import balanced_join
 
-STRETCH = 50_000
+STRETCH = 1 << 21
 
 
 def _linked(points: DataFrame, stretch: int) -> DataFrame:
     """Every point once, with the point that follows it on its route (NULL at the end).
 
-    A route is cut into stretches of ``stretch`` index values, so a long route is
-    sorted by many tasks; the few points at the ends of stretches are then
-    linked to the next stretch.
+    Points are linked inside stretches of ``stretch`` index values first. Only the
+    first and last point of each stretch go on to stretches of ``stretch ** 2``
+    values, and their ends to the whole route. So however dense or sparse ``idx``
+    is, a task sorts at most ``2 * stretch`` points of a route on the first two
+    levels, and on the last twice the number of wide stretches (2 ** 22 for the
+    default and any 64-bit index).
     """
-    point = F.struct("lon", "lat")
-    within = Window.partitionBy("route", "part").orderBy("idx")
-    here = points.select("route", "idx", "lon", "lat", F.floor(F.col("idx") / F.lit(stretch)).alias("part"))
-    here = here.withColumns({"next": F.lead(point).over(within), "opens": F.lag("idx").over(within).isNull()})
-    columns = ("route", "idx", "lon", "lat", "next")
-    inner = here.where(F.col("next").isNotNull()).select(*columns)
-    ends = here.where(F.col("next").isNull() | F.col("opens"))
-    along = Window.partitionBy("route").orderBy("idx")
-    closing = ends.withColumn("after", F.lead(point).over(along)).where(F.col("next").isNull())
-    return inner.unionByName(closing.withColumn("next", F.col("after")).select(*columns))
+    open_ = points.select("route", F.col("idx").cast("bigint").alias("idx"), F.col("idx").alias("_idx"), "lon", "lat",
+                          F.lit(False).alias("linked"))
+    found = []
+    for width in (stretch, stretch ** 2, None):
+        part = [] if width is None else [F.col("idx") - F.pmod(F.col("idx"), F.lit(width).cast("bigint"))]
+        along = Window.partitionBy("route", *part).orderBy("idx")
+        here = open_.withColumns({"next": F.lead(F.struct("lon", "lat")).over(along),
+                                  "opens": F.lag("idx").over(along).isNull()})
+        ended = F.col("next").isNotNull() if width is not None else F.lit(True)
+        found.append(here.where(~F.col("linked") & ended).select("route", F.col("_idx").alias("idx"), "lon", "lat", "next"))
+        open_ = here.where(F.col("opens") | F.col("next").isNull()).select(
+            "route", "idx", "_idx", "lon", "lat", (F.col("linked") | F.col("next").isNotNull()).alias("linked"))
+    return reduce(DataFrame.unionByName, found)
 
 
 def _linked_short(points: DataFrame) -> DataFrame:

@@ -86,12 +86,8 @@ def stream_republished(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _readable(values: DataFrame) -> DataFrame:
-    """Texts by kind; number formatting of whole texts is left to the unit tests."""
-    kind = (F.when(F.col("value").contains('"seats":"four"') | F.col("value").contains('"seats": "four"'), "wrong_type")
-            .when(F.col("value").contains("plate_id"), "driver")
-            .when(F.col("value").contains("passenger_id"), "passenger").otherwise("no_id"))
-    identifier = F.coalesce(F.get_json_object("value", "$.plate_id"), F.get_json_object("value", "$.passenger_id"))
-    return values.groupBy(kind.alias("kind"), identifier.alias("id")).agg(F.count(F.lit(1)).alias("texts"))
+    """Each whole text and how often it was sent."""
+    return values.groupBy("value").agg(F.count(F.lit(1)).alias("texts"))
 
 
 def driver_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -155,6 +151,14 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
         pricing.seat_offer(pricing.route_tariff(value), e.seats()).alias("seat_offer"))
 
 
+def money_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rounding where doubles are nearly or more than a cent apart."""
+    event = F.col("event_id")
+    scale = F.when(event % 3 == 0, 1.0).when(event % 3 == 1, 3.0).otherwise(200.0)
+    amount = (F.lit(4.5e13) + event * F.lit(0.015625)) * scale
+    return e.read_events(spark, sf_dir).select("event_id", pricing.round_money(amount).alias("rounded"))
+
+
 def distances(spark: SparkSession, sf_dir: str) -> DataFrame:
     to_0, to_1 = e.dropoff()
     return e.read_events(spark, sf_dir).select(
@@ -201,19 +205,25 @@ QUERIES = {
     "driver_documents": driver_documents,
     "seats_taken": seats_taken,
     "prices": prices,
+    "money_large": money_large,
     "distances": distances,
     "wkt_texts": wkt_texts,
     "ids_checked": ids_checked,
 }
 
 _W = f"WITH {e.EVENT_SQL} "
-_REPUBLISHED = _W + """
-SELECT CASE WHEN event_type = 'error' THEN CASE event_id % 5 WHEN 1 THEN 'wrong_type' WHEN 2 THEN 'no_id'
-            ELSE 'passenger' END
-            WHEN event_type IN ('click', 'view') THEN 'driver' ELSE 'passenger' END AS kind,
-       CASE WHEN event_type = 'error' THEN CASE event_id % 5 WHEN 1 THEN '1234ABC' WHEN 3 THEN '12345678A' END
-            WHEN event_type IN ('click', 'view') THEN plate_id ELSE passenger_id END AS id, count(*) AS texts
-FROM ev WHERE event_type <> 'error' OR event_id % 5 IN (1, 2, 3) GROUP BY 1, 2"""
+_DRIVER_TEXT = """'{"plate_id":"' || plate_id || '","seats":' || seats::varchar || ',"full_tariff":0.0,"ride_offer":'
+         || offer::varchar || ',"location":[' || lon::varchar || ',' || lat::varchar || ']}'"""
+_PASSENGER_TEXT = """'{"passenger_id":"' || passenger_id || '","pick_location":[],"location":[' || lon::varchar || ','
+         || lat::varchar || '],"ride_offer":' || offer::varchar || ',"dropoff_location":[' || drop_0::varchar || ','
+         || drop_1::varchar || ']}'"""
+_REPUBLISHED = _W + f"""
+SELECT CASE WHEN event_type IN ('click', 'view') THEN {_DRIVER_TEXT}
+            WHEN event_type <> 'error' THEN {_PASSENGER_TEXT}
+            WHEN event_id % 5 = 1 THEN '{{"plate_id": "1234ABC", "seats": "four", "location": [0.5, 39.5]}}'
+            WHEN event_id % 5 = 2 THEN '{{"location": [0.5, 39.5], "ride_offer": 1.5}}'
+            ELSE '{{"passenger_id": "12345678A", "location": [0.5, 39.5, 7.0]}}' END AS value, count(*) AS texts
+FROM ev2 WHERE event_type <> 'error' OR event_id % 5 IN (1, 2, 3) GROUP BY 1"""
 
 
 def _cost_sql(x: str) -> str:
@@ -269,6 +279,8 @@ SELECT event_id, close AS boarded, CASE WHEN close THEN coalesce(seats, 0) + 1 E
        offer >= 2.0::double * 0.75::double AS compatible, {e.money_sql('value / 7')} AS rounded,
        round(value * 0.08::double, 6) AS fare, {e.money_sql('value * 1.5::double / seats::double')} AS seat_offer
 FROM ev""",
+    "money_large": f"""SELECT event_id, {e.money_sql("""(45000000000000::double + event_id * 0.015625::double)
+       * CASE event_id % 3 WHEN 0 THEN 1::double WHEN 1 THEN 3::double ELSE 200::double END""")} AS rounded FROM events""",
     "distances": _W + f"""SELECT event_id, round({e.haversine_sql('lon', 'lat', 'drop_0', 'drop_1')}, 6) AS km,
        round({e.haversine_sql('lat', 'lon', 'drop_1', 'drop_0')}, 6) AS trip_km, round({_PLANAR}, 6) AS planar_km,
        {_PLANAR} <= 0.1::double AS close,

@@ -8,6 +8,9 @@ from hopgrid.functions import pricing
 from hopgrid.operators import kpis
 from hopgrid.operators.records import driver_rows, passenger_rows
 from hopgrid.plans import events as e
+from hopgrid.session import work_dir
+from hopgrid.sinks.tables import append_table
+from hopgrid.sources.documents import open_tables
 
 
 def _drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,7 +18,20 @@ def _drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _passengers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passenger_rows(e.messages(spark, sf_dir)[1])
+    """Passengers move a little with each message, so the position of a row matters."""
+    event = F.col("event_id")
+    moved = F.array(F.get("location", F.lit(0)) + (event * 3 % 11) * F.lit(0.00001),
+                    F.get("location", F.lit(1)) + (event % 7) * F.lit(0.00001))
+    return passenger_rows(e.messages(spark, sf_dir)[1].withColumn("location", moved))
+
+
+def _stored_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The three tables, written once and opened under their names."""
+    folder = work_dir(spark, "tables")
+    append_table(_drivers(spark, sf_dir), f"{folder}/drivers")
+    append_table(_passengers(spark, sf_dir), f"{folder}/passengers")
+    append_table(e.trips_table(spark, sf_dir), f"{folder}/trips")
+    return open_tables(spark, folder)
 
 
 def _on_trips(figure):
@@ -57,13 +73,14 @@ def _first_trip(trips: DataFrame) -> str:
 
 
 def found_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = e.trips_table(spark, sf_dir)
+    """Looked up in the stored table, whose row groups a bloom filter on the id skips."""
+    trips = _stored_tables(spark, sf_dir)["trips"]
     return kpis.find_trip(trips, _first_trip(trips))
 
 
 def found_passenger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = e.trips_table(spark, sf_dir)
-    return kpis.find_passenger(_passengers(spark, sf_dir), trips, _first_trip(trips))
+    tables = _stored_tables(spark, sf_dir)
+    return kpis.find_passenger(tables["passengers"], tables["trips"], _first_trip(tables["trips"]))
 
 
 def passenger_of_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,16 +91,23 @@ def passengers_unswapped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kpis.unswap_location(_passengers(spark, sf_dir))
 
 
-def figures_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The figures as plain SQL over the registered table names."""
-    return spark.sql(
-        """SELECT (SELECT count(DISTINCT plate_id) FROM {drivers}) AS enrolled,
+_FIGURES_QUERY = """SELECT (SELECT count(DISTINCT plate_id) FROM {drivers}) AS enrolled,
                   count(DISTINCT driver_id) FILTER (WHERE travelled_distance <> 0.0) AS matched,
                   cast(format_number(sum(cost), '0.00') AS double) AS total_volume_traded,
                   cast(format_number(sum(company_margin) FILTER (WHERE company_margin IS NOT NULL), '0.00')
                        AS double) AS total_income
-           FROM {trips}""",
-        drivers=_drivers(spark, sf_dir), trips=e.trips_table(spark, sf_dir))
+           FROM {trips}"""
+
+
+def figures_in_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures as plain SQL over frames."""
+    return spark.sql(_FIGURES_QUERY, drivers=_drivers(spark, sf_dir), trips=e.trips_table(spark, sf_dir))
+
+
+def figures_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over the stored tables."""
+    tables = _stored_tables(spark, sf_dir)
+    return spark.sql(_FIGURES_QUERY, drivers=tables["drivers"], trips=tables["trips"])
 
 
 QUERIES = {
@@ -100,6 +124,7 @@ QUERIES = {
     "money_from_messages": _on_messages(kpis.money_from_messages),
     "matched_drivers_from_messages": _on_messages(kpis.matched_drivers_from_messages),
     "figures_in_sql": figures_in_sql,
+    "figures_from_tables": figures_from_tables,
     "trip_points": _on_trips(trip_points),
     "found_trip": found_trip,
     "found_passenger": found_passenger,
@@ -114,6 +139,11 @@ _FIGURES = f"""{_T}, f AS (
   SELECT (SELECT count(DISTINCT plate_id) FROM d) AS enrolled,
          (SELECT count(DISTINCT driver_id) FROM trips WHERE travelled_distance <> 0.0) AS matched)"""
 _RATIO = e.money_sql("matched::double / enrolled")
+_STORED = """stored AS (
+  SELECT passenger_id, offer, lon + (event_id * 3 % 11) * 0.00001::double AS lon,
+         lat + (event_id % 7) * 0.00001::double AS lat FROM p)"""
+_IN_SQL = _FIGURES + f"""SELECT enrolled, matched,
+       (SELECT {_VOLUME} FROM trips) AS total_volume_traded, (SELECT {_INCOME} FROM trips) AS total_income FROM f"""
 _MATCHED = _T + "SELECT count(DISTINCT driver_id) AS matched FROM trips WHERE travelled_distance <> 0.0"
 
 ORACLES = {
@@ -132,8 +162,8 @@ UNION ALL SELECT 'drivers with match', matched FROM f""",
     "money_from_messages": _T + f"""SELECT count(*) AS trips, {_INCOME} AS total_income,
        {_VOLUME} AS total_volume_traded FROM trips""",
     "matched_drivers_from_messages": _MATCHED,
-    "figures_in_sql": _FIGURES + f"""SELECT enrolled, matched,
-       (SELECT {_VOLUME} FROM trips) AS total_volume_traded, (SELECT {_INCOME} FROM trips) AS total_income FROM f""",
+    "figures_in_sql": _IN_SQL,
+    "figures_from_tables": _IN_SQL,
     "trip_points": f"""WITH {e.EVENT_SQL}
 SELECT d.event_id::varchar || '-' || p.event_id::varchar AS trip_id, d.plate_id AS driver_id,
        d.lat AS pickup_lat, abs(d.lon) * sign(d.lon) AS pickup_lon, p.drop_1 AS dropoff_lat, p.drop_0 AS dropoff_lon,
@@ -141,10 +171,12 @@ SELECT d.event_id::varchar || '-' || p.event_id::varchar AS trip_id, d.plate_id
 {e.PAIR_SQL} AND p.offer >= d.offer * 0.75::double""",
     "found_trip": _T + """SELECT driver_id, pickup_location, dropoff_location, cost, travelled_distance
 FROM trips WHERE trip_id = (SELECT min(trip_id) FROM trips)""",
-    "found_passenger": _T + """SELECT lon AS longitude, lat AS latitude FROM p
+    "found_passenger": f"""{_T}, {_STORED} SELECT lon AS longitude, lat AS latitude FROM stored
 WHERE passenger_id = (SELECT passenger_id FROM trips WHERE trip_id = (SELECT min(trip_id) FROM trips))""",
-    "passenger_of_trips": _T + """SELECT trip_id, passenger_id, f.lon AS longitude, f.lat AS latitude
-FROM trips JOIN (SELECT passenger_id, min(lat) AS lat, min(lon) AS lon FROM p GROUP BY 1) f USING (passenger_id)""",
-    "passengers_unswapped": f"""WITH {e.EVENT_SQL}
-SELECT passenger_id, offer AS ride_offer, lon AS longitude, lat AS latitude FROM p""",
+    "passenger_of_trips": f"""{_T}, {_STORED}
+SELECT trip_id, passenger_id, f.lon AS longitude, f.lat AS latitude
+FROM trips JOIN (SELECT *, row_number() OVER (PARTITION BY passenger_id ORDER BY lat, lon) AS n FROM stored) f
+  USING (passenger_id) WHERE n = 1""",
+    "passengers_unswapped": f"""WITH {e.EVENT_SQL}, {_STORED}
+SELECT passenger_id, offer AS ride_offer, lon AS longitude, lat AS latitude FROM stored""",
 }

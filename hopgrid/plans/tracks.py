@@ -83,10 +83,11 @@ def corner_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def kml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A route file per document, with as many points as the text asks for and a later pin."""
+    """A route file per document, with a point for each word of the whole text and a later pin."""
     doc = F.col("doc_id")
-    tokens = F.transform(F.sequence(F.lit(0), F.col("n_chars") % 40), lambda i: F.concat_ws(
-        ",", (F.lit(-0.37) - (doc % 97) * F.lit(0.0001) - i * F.lit(0.00005)).cast("string"),
+    words = F.split(F.coalesce("text", F.lit("")), " ")
+    tokens = F.transform(words, lambda word, i: F.concat_ws(
+        ",", (F.lit(-0.37) - (doc % 97) * F.lit(0.0001) - F.length(word) * F.lit(0.00005)).cast("string"),
         (F.lit(39.47) + i * F.lit(0.00003)).cast("string"), F.lit("0")))
     content = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?>\n<kml xmlns="http://www.opengis.net/kml/2.2"><Document>'
@@ -128,22 +129,24 @@ def coordinate_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.latest_positions(_positions(e.read_events(spark, sf_dir)), "id", ("event_id",))
+    return records.latest_positions(_positions(e.read_events(spark, sf_dir)), "id", ("at",))
 
 
 def latest_position(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records.latest_positions(_positions(e.read_events(spark, sf_dir)), None, ("at", "event_id"))
+    return records.latest_positions(_positions(e.read_events(spark, sf_dir)), None, ("at",))
 
 
 def _positions(events: DataFrame) -> DataFrame:
+    """Every car moves with each of its events, which come out of order: ``at`` runs backwards in stretches."""
+    event = F.col("event_id")
     return events.where(F.col("event_type").isin(*e.DRIVER_TYPES)).select(
-        e.plate_id().alias("id"), e.lon().alias("lon"), e.lat().alias("lat"),
-        e.seconds().alias("at"), "event_id")
+        e.plate_id().alias("id"), (e.lon() - (event % 997) * F.lit(0.00005)).alias("lon"),
+        (e.lat() + (event % 613) * F.lit(0.00003)).alias("lat"), event.bitwiseXOR(F.lit(4095)).alias("at"))
 
 
 def stream_latest_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same kept up to date by a stream; each update batch is appended, the newest row per car counts."""
-    positions = _positions(e.read_events(spark, sf_dir, streaming=True)).withColumn("ts", F.col("event_id"))
+    positions = _positions(e.read_events(spark, sf_dir, streaming=True)).withColumnRenamed("at", "ts")
     folder = work_dir(spark, "latest")
     query = (latest_stream(positions).writeStream.outputMode("update")
              .option("checkpointLocation", f"{folder}/checkpoint")
@@ -180,8 +183,9 @@ _ENDS = f"""picks AS (
   SELECT route, arg_min(lon, k) AS at_0, arg_min(lat, k) AS at_1, arg_max(lon, idx) AS drop_0,
          arg_max(lat, idx) AS drop_1
   FROM (SELECT *, md5('{PICK_SEED}:' || route::varchar || ':' || idx::varchar)[1:15] AS k FROM pts) GROUP BY route)"""
-_KML = """FROM (SELECT doc_id, unnest(range(0, n_chars % 40 + 1)) AS i FROM documents)"""
-_KML_POINT = """-0.37::double - (doc_id % 97) * 0.0001::double - i * 0.00005::double AS lon,
+_KML = """FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS i
+      FROM (SELECT doc_id, string_split(coalesce(text, ''), ' ') AS words FROM documents))"""
+_KML_POINT = """-0.37::double - (doc_id % 97) * 0.0001::double - length(word) * 0.00005::double AS lon,
        39.47::double + i * 0.00003::double AS lat"""
 _NUMBER = r"'\s*[-+]?(\d+(\.\d*)?|\.\d+)([eE][-+]?\d+)?\s*'"
 
@@ -201,7 +205,10 @@ checked AS (
   SELECT file, contains(line, ',') AND NOT contains(line, 'name') AS wanted,
          {_number_sql(1)} AS first, {_number_sql(2)} AS second FROM lines),
 judged AS (SELECT *, first IS NOT NULL AND second IS NOT NULL AS valid FROM checked)"""
-_LATEST = """arg_max(lon, event_id) AS lon, arg_max(lat, event_id) AS lat"""
+_MOVED = f"""WITH {e.EVENT_SQL},
+moved AS (SELECT plate_id AS id, lon - (event_id % 997) * 0.00005::double AS lon,
+                 lat + (event_id % 613) * 0.00003::double AS lat, xor(event_id, 4095) AS stamp FROM d)
+SELECT arg_max(lon, stamp) AS lon, arg_max(lat, stamp) AS lat"""
 
 ORACLES = {
     "route_segments": f"""WITH {e.COURSE_SQL}
@@ -238,9 +245,7 @@ SELECT file, count(*) FILTER (WHERE wanted AND valid) AS valid_lines,
        {e.money_sql('0.10::double * count(*) FILTER (WHERE wanted AND valid)')} AS payment
 FROM judged GROUP BY file""",
     "coordinate_lines": _LINES + " SELECT file, first, second, valid FROM judged WHERE wanted",
-    "latest_positions": f"""WITH {e.EVENT_SQL}
-SELECT plate_id AS id, {_LATEST}, max(event_id) AS event_id FROM d GROUP BY plate_id""",
-    "latest_position": f"WITH {e.EVENT_SQL} SELECT {_LATEST}, max(sec) AS at FROM d",
-    "stream_latest_positions": f"""WITH {e.EVENT_SQL}
-SELECT plate_id AS id, {_LATEST}, max(event_id) AS ts FROM d GROUP BY plate_id""",
+    "latest_positions": _MOVED + ", max(stamp) AS at, id FROM moved GROUP BY id",
+    "latest_position": _MOVED + ", max(stamp) AS at FROM moved",
+    "stream_latest_positions": _MOVED + ", max(stamp) AS ts, id FROM moved GROUP BY id",
 }

@@ -65,7 +65,7 @@ def is_coordinate_line(line: Column) -> Column:
 
 def coordinate_numbers(line: Column) -> tuple[Column, Column]:
     """First two comma-separated parts as doubles, NULL where they are not numbers."""
-    parts = F.split(line, ",")
+    parts = F.split(line, ",", 3)  # the rest of a long line stays whole
     return number(F.get(parts, F.lit(0))), number(F.get(parts, F.lit(1)))
 
 

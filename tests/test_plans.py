@@ -6,8 +6,9 @@ import re
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from hopgrid import app
+from hopgrid.plans import ORACLES, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -17,12 +18,12 @@ def plan(frame) -> str:
 
 
 def test_every_query_has_its_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(n for n in queries() if not n.startswith("stream_")))
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if not n.startswith("stream_")))
 def test_no_cross_join_and_no_python(spark, name):
-    text = plan(queries()[name](spark, SMALL))
+    text = plan(QUERIES[name](spark, SMALL))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|PythonUDF|ArrowEvalPython|MapInPandas", text)
 
 
@@ -41,8 +42,8 @@ def test_flagship_plan(spark):
 
 
 def test_aggregates_on_fixed_width_state(spark):
-    for name in ("latest_positions", "route_requests", "bounding_boxes"):
-        text = plan(queries()[name](spark, SMALL))
+    for name in ("latest_positions", "latest_position", "passenger_of_trips", "route_requests", "bounding_boxes"):
+        text = plan(QUERIES[name](spark, SMALL))
         assert "SortAggregate" not in text, name
 
 

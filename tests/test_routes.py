@@ -55,6 +55,16 @@ def test_route_files(spark, folder, tmp_path_factory):
         files.read_route_files(spark, str(tmp_path_factory.mktemp("empty")))
 
 
+@pytest.mark.parametrize("spacing", [1, 7, 100_003, 1 << 45])
+def test_segments_of_sparse_and_dense_routes(spark, spacing):
+    rows = [(r, (i - 20) * spacing + (i * i % 5 if spacing > 5 else 0), float(i % 11), float(i)) for r in (1, 2) for i in range(50) if (i * r) % 9]
+    points = spark.createDataFrame(rows, "route long, idx long, lon double, lat double")
+    expected = sorted((a[0], a[1], b[2], b[3]) for a, b in zip(sorted(rows), sorted(rows)[1:]) if a[0] == b[0])
+    for stretch in (4, routes.STRETCH):
+        found = sorted(tuple(r) for r in routes.segments(points, stretch).select("route", "idx", "next_lon", "next_lat").collect())
+        assert found == expected
+
+
 @pytest.mark.parametrize("stretch", [None, 1, 3, 10, 100_000])
 def test_segments_do_not_depend_on_the_stretch(spark, stretch):
     rng = random.Random(2)
