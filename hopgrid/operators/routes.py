@@ -24,7 +24,7 @@ def _linked(points: DataFrame, stretch: int) -> DataFrame:
     first and last point of each stretch go on to stretches of ``stretch ** 2``
     values, and their ends to the whole route. So however dense or sparse ``idx``
     is, a task sorts at most ``2 * stretch`` points of a route on the first two
-    levels, and on the last twice the number of wide stretches (2 ** 22 for the
+    levels, and on the last two per wide stretch (2 ** 23 for the
     default and any 64-bit index).
     """
     open_ = points.select("route", F.col("idx").cast("bigint").alias("idx"), F.col("idx").alias("_idx"), "lon", "lat",
