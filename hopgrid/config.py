@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+
 # Results only agree with the existing service when these are equal.
 EARTH_RADIUS_KM = 6371.0
 KM_PER_DEGREE = 111.319
@@ -62,6 +64,8 @@ class MatchConfig:
     trip_ids: str = "random"
     # Streams cannot count keys ahead: every key is cut into stream_parts ** 2 blocks.
     stream_parts: int = 1
+    # Known crowded keys, as ``match.crowded_bins`` gives them: a stream cuts these further, a batch join counts no keys.
+    crowded: DataFrame | None = field(default=None, compare=False)
     split: SplitPolicy = field(default_factory=SplitPolicy)
 
     @property

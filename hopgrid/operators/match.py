@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hopgrid import config as c
 from hopgrid.config import EXACT, PRICED, MatchConfig
 from hopgrid.functions import geo, identity, pricing
-from hopgrid.operators.skew import balanced_join
+from hopgrid.operators.skew import balanced_join, hot_keys
 
 SLOT = "match_window"
 TRIP_COLUMNS = (
@@ -78,7 +78,7 @@ def pair_by_bin(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig = PR
     right = _passenger_side(with_bins(with_window(passengers, cfg), cfg), keys, carry)
     compatible = pricing.offers_compatible(F.col("driver_offer"), F.col("passenger_offer"), cfg.min_offer_share)
     return balanced_join(left, right, keys, cfg.split, compatible if priced else None,
-                         stream_parts=cfg.stream_parts)
+                         stream_parts=cfg.stream_parts, crowded=cfg.crowded)
 
 
 def pair_by_location(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig = EXACT, *,
@@ -88,7 +88,8 @@ def pair_by_location(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig
     place = {"at_0": _at("location", 0), "at_1": _at("location", 1)}
     left = _driver_side(with_window(drivers, cfg).withColumns(place), keys, carry)
     right = _passenger_side(with_window(passengers, cfg).withColumns(place), keys, carry)
-    return balanced_join(left, right, keys, cfg.split, _near(cfg.tolerance), stream_parts=cfg.stream_parts)
+    return balanced_join(left, right, keys, cfg.split, _near(cfg.tolerance),
+                         stream_parts=cfg.stream_parts, crowded=cfg.crowded)
 
 
 def pair_within_tolerance(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig = EXACT, *,
@@ -116,7 +117,8 @@ def pair_within_tolerance(drivers: DataFrame, passengers: DataFrame, cfg: MatchC
         with_window(passengers, cfg).withColumn("cell_0", reached(_at("location", 0)))
         .withColumn("cell_1", reached(_at("location", 1))),
         keys, carry)
-    return balanced_join(left, right, keys, cfg.split, _near(cfg.tolerance), stream_parts=cfg.stream_parts)
+    return balanced_join(left, right, keys, cfg.split, _near(cfg.tolerance),
+                         stream_parts=cfg.stream_parts, crowded=cfg.crowded)
 
 
 def _near(tolerance: float) -> Column:
@@ -129,7 +131,7 @@ def _trip_id(pairs: DataFrame, cfg: MatchConfig) -> Column:
         return identity.random_trip_id()
     window = F.col(SLOT)["start"] if pairs.isStreaming else F.col(SLOT)
     names = [n for n in pairs.columns if n != SLOT]
-    return identity.stable_trip_id(window, *[F.col(n) for n in names])
+    return identity.stable_trip_id(F.unix_micros(window), *[F.col(n) for n in names])
 
 
 def _distance() -> Column:
@@ -242,6 +244,18 @@ def _counted(keyed: DataFrame, *keys: str) -> DataFrame:
     return counts.withColumn("pairs", F.col("drivers") * F.col("passengers"))
 
 
+def crowded_bins(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig = PRICED) -> DataFrame:
+    """Bins that were crowded in some window of recorded messages, with the blocks they need.
+
+    Write it to a table and hand that to a stream as ``MatchConfig.crowded``:
+    the stream then cuts these bins and leaves the others whole.
+    """
+    sides = [with_bins(with_window(messages, cfg), cfg) for messages in (drivers, passengers)]
+    hot = hot_keys(*sides, [SLOT, "bin_0", "bin_1"], cfg.split)
+    return hot.groupBy("bin_0", "bin_1").agg(
+        F.max("left_parts").alias("left_parts"), F.max("right_parts").alias("right_parts"))
+
+
 def collapse_trips(trips: DataFrame) -> DataFrame:
     """One row per driver, passenger and bin of a trips table, with the number of repeats."""
     return trips.groupBy("driver_id", "passenger_id", "bin_key").agg(

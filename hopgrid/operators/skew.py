@@ -10,6 +10,7 @@ from hopgrid.config import SplitPolicy
 from hopgrid.session import work_dir
 
 LEFT_BLOCK, RIGHT_BLOCK = "_left_block", "_right_block"
+GRID = ("left_parts", "right_parts")
 
 
 def hot_keys(left: DataFrame, right: DataFrame | None, keys: list[str], policy: SplitPolicy) -> DataFrame:
@@ -77,23 +78,35 @@ def split_sides(left: DataFrame, right: DataFrame, keys: list[str], policy: Spli
 
     left_out = _spread(with_grid(left), left_parts, right_parts, LEFT_BLOCK, RIGHT_BLOCK, left.columns)
     right_out = _spread(with_grid(right), right_parts, left_parts, RIGHT_BLOCK, LEFT_BLOCK, right.columns)
-    drop = ("left_parts", "right_parts")
-    return left_out.drop(*drop), right_out.drop(*drop), [*keys, LEFT_BLOCK, RIGHT_BLOCK]
+    return left_out.drop(*GRID), right_out.drop(*GRID), [*keys, LEFT_BLOCK, RIGHT_BLOCK]
 
 
 def fixed_split(left: DataFrame, right: DataFrame, keys: list[str], parts: int,
-                ) -> tuple[DataFrame, DataFrame, list[str]]:
-    """The same grid for every key, for streams, whose keys cannot be counted ahead."""
-    if parts <= 1:
+                crowded: DataFrame | None = None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """A grid without counting: for streams, whose keys cannot be counted ahead, and for known crowded keys.
+
+    Every key gets ``parts`` blocks per side; those in ``crowded``, a table of
+    some of the key columns with ``left_parts`` and ``right_parts``, get theirs.
+    A key that is crowded but not in the table costs balance, never rows.
+    """
+    if crowded is None and parts <= 1:
         return left, right, keys
-    size = F.lit(parts)
-    return (_spread(left, size, size, LEFT_BLOCK, RIGHT_BLOCK, left.columns),
-            _spread(right, size, size, RIGHT_BLOCK, LEFT_BLOCK, right.columns),
+    left_parts = right_parts = F.lit(parts)
+    left_wide, right_wide = left, right
+    if crowded is not None:
+        on = [name for name in crowded.columns if name not in GRID]
+        if not on or not set(on) <= set(keys):
+            raise ValueError(f"crowded keys {on} are not among the join keys {keys}")
+        left_wide, right_wide = left.join(crowded, on, "left"), right.join(crowded, on, "left")
+        left_parts, right_parts = (F.coalesce(name, F.lit(parts)) for name in GRID)
+    return (_spread(left_wide, left_parts, right_parts, LEFT_BLOCK, RIGHT_BLOCK, left.columns).drop(*GRID),
+            _spread(right_wide, right_parts, left_parts, RIGHT_BLOCK, LEFT_BLOCK, right.columns).drop(*GRID),
             [*keys, LEFT_BLOCK, RIGHT_BLOCK])
 
 
 def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], policy: SplitPolicy,
-                  condition: Column | None = None, *, stream_parts: int = 1, semi: bool = False,
+                  condition: Column | None = None, *, stream_parts: int = 1,
+                  crowded: DataFrame | None = None, semi: bool = False,
                   sized_by: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
     """Inner join on ``keys`` and ``condition``; every pair comes out exactly once.
 
@@ -101,12 +114,15 @@ def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], policy: Sp
     ``semi`` the left columns of rows that have a partner are returned; a row of
     a split key may then come out once per block.
 
+    ``crowded`` names the keys to cut, as ``fixed_split`` takes them; nothing is
+    then counted, so building the join starts no job and reads no input.
     ``sized_by`` names cheaper frames with the same keys to count hot keys on,
     so that an aggregated side is not computed twice; None on the right stands
     for one row per key.
     """
-    if left.isStreaming or right.isStreaming:
-        left, right, on = fixed_split(left, right, keys, stream_parts)
+    streaming = left.isStreaming or right.isStreaming
+    if streaming or crowded is not None:
+        left, right, on = fixed_split(left, right, keys, stream_parts if streaming else 1, crowded)
     else:
         left, right, on = split_sides(left, right, keys, policy, sized_by or (left, right))
     if not semi:

@@ -143,6 +143,28 @@ def messages(spark: SparkSession, sf_dir: str, streaming: bool = False) -> tuple
     return driver_messages(events), passenger_messages(events)
 
 
+def crowded_messages(spark: SparkSession, sf_dir: str, streaming: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The messages with every third one of 20,000 events in one burst: one place, one window."""
+    event = F.col("event_id")
+    burst = event % 3 == 0
+    start = _div(_div(event, 20000) * 4000, 15) * 15
+    return tuple(side.withColumns({
+        "ts": F.when(burst, F.timestamp_seconds(F.lit(EPOCH) + start + event % 15)).otherwise(F.col("ts")),
+        "location": F.when(burst, F.array(F.lit(-0.5), F.lit(39.6))).otherwise(F.col("location"))})
+        for side in messages(spark, sf_dir, streaming))
+
+
+CROWDED_SQL = EVENT_SQL + """,
+burst AS (
+  SELECT event_id, event_type, offer,
+         CASE WHEN event_id % 3 = 0 THEN (event_id // 20000 * 4000) // 15 ELSE sec // 15 END AS slot,
+         CASE WHEN event_id % 3 = 0 THEN cast(trunc(-0.5::double / 0.00025::double) AS bigint) ELSE bin_0 END AS bin_0,
+         CASE WHEN event_id % 3 = 0 THEN cast(trunc(39.6::double / 0.00025::double) AS bigint) ELSE bin_1 END AS bin_1
+  FROM ev2),
+bd AS (SELECT * FROM burst WHERE event_type IN ('click', 'view')),
+bp AS (SELECT * FROM burst WHERE event_type IN ('purchase', 'signup'))"""
+
+
 def trips_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Priced trips with an id made of the two event ids, so that SQL can form it too."""
     drivers, passengers = messages(spark, sf_dir)

@@ -120,15 +120,29 @@ def points_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return messages.parse_points(keyed_points(spark, sf_dir)).select("lon", "lat")
 
 
-def driver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _driver_document() -> Column:
     place = F.struct(e.lon().alias("lon"), e.lat().alias("lat"))
-    texts = e.read_events(spark, sf_dir).select(F.to_json(F.struct(
+    return F.struct(
         e.plate_id().alias("plate_id"), F.array(F.array(e.lon(), e.lat())).alias("course"),
         e.seats().alias("seats"), F.lit(0).alias("passengers"), F.col("value").alias("trip_cost"),
-        F.lit(5.0).alias("full_tariff"), F.array(place).alias("location"))).alias("text"))
+        F.lit(5.0).alias("full_tariff"), F.array(place).alias("location"))
+
+
+def driver_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = e.read_events(spark, sf_dir).select(F.to_json(_driver_document()).alias("text"))
     return documents.driver_summary(documents.parse_documents(texts))
 
 
+def driver_documents_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents as files of many lines, a thousand events to a file, and back."""
+    path = work_dir(spark, "documents")
+    block = F.floor(F.col("event_id") / 1000)
+    texts = e.read_events(spark, sf_dir).groupBy(block.alias("block")).agg(
+        F.to_json(F.collect_list(_driver_document()), {"pretty": "true"}).alias("text"))
+    texts.select("text").write.option("maxRecordsPerFile", 1).text(path)
+    return documents.driver_summary(documents.read_documents(spark, path))
+
+
 def seats_taken(spark: SparkSession, sf_dir: str) -> DataFrame:
     event = F.col("event_id")
     near = F.array(e.lon() + F.lit(0.0001) * (event % 20), e.lat() + F.lit(0.0001) * (event % 7))
@@ -203,6 +217,7 @@ QUERIES = {
     "keyed_points": keyed_points,
     "points_parsed": points_parsed,
     "driver_documents": driver_documents,
+    "driver_documents_read": driver_documents_read,
     "seats_taken": seats_taken,
     "prices": prices,
     "money_large": money_large,
@@ -268,6 +283,7 @@ FROM d""",
 FROM ev""",
     "points_parsed": _W + "SELECT lon, lat FROM ev",
     "driver_documents": _W + "SELECT plate_id, value AS trip_cost, lon, lat FROM ev",
+    "driver_documents_read": _W + "SELECT plate_id, value AS trip_cost, lon, lat FROM ev",
     "seats_taken": _W + """
 SELECT event_id, close AS boarded, CASE WHEN close THEN coalesce(seats, 0) + 1 ELSE seats END AS seats FROM (
   SELECT event_id, cast(CASE WHEN event_id % 4 <> 0 THEN event_id % 5 END AS integer) AS seats,

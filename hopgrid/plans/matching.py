@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from hopgrid.config import EXACT, PRICED
+from hopgrid.config import EXACT, PRICED, SplitPolicy
 from hopgrid.operators import match as m
 from hopgrid.plans import events as e
 from hopgrid.session import work_dir
@@ -73,6 +74,36 @@ def match_geographic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trips.select(*IDS, "travelled_distance", "travelled_distance_geo", "pickup_location", "pickup_wkt_lonlat")
 
 
+def match_stable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trip ids made of the pair itself."""
+    cfg = dataclasses.replace(PRICED, trip_ids="stable")
+    return m.match_priced(*e.messages(spark, sf_dir), cfg, carry=CARRY).select(*IDS, "trip_id")
+
+
+# Blocks small enough for the bursts of the given tables to be cut.
+CROWDED = dataclasses.replace(PRICED, split=SplitPolicy(block_rows=512))
+
+
+def _per_driver(trips: DataFrame) -> DataFrame:
+    return trips.groupBy("driver_event_id").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum(F.round(F.col("cost") * 100).cast("bigint")).alias("cents"),
+        F.sum("passenger_event_id").alias("passenger_ids"))
+
+
+def match_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of the messages in crowded bins, which the join cuts."""
+    return _per_driver(m.match_priced(*e.crowded_messages(spark, sf_dir), CROWDED, carry=CARRY))
+
+
+def stream_match_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream that knows the crowded bins from recorded messages."""
+    path = work_dir(spark, "crowded-bins")
+    m.crowded_bins(*e.crowded_messages(spark, sf_dir), CROWDED).write.parquet(path)
+    cfg = dataclasses.replace(CROWDED, crowded=spark.read.parquet(path))
+    trips = match_stream(*e.crowded_messages(spark, sf_dir, streaming=True), cfg, "priced", CARRY)
+    return _per_driver(_drained(spark, trips, (*IDS, "cost")))
+
+
 def _counts(counts: DataFrame) -> DataFrame:
     return counts.withColumn("window_start", F.unix_seconds(m.SLOT)).drop(m.SLOT)
 
@@ -99,6 +130,9 @@ QUERIES = {
     "stream_match_raw": stream_match_raw,
     "trips_appended": trips_appended,
     "match_geographic": match_geographic,
+    "match_stable": match_stable,
+    "match_crowded": match_crowded,
+    "stream_match_crowded": stream_match_crowded,
     "bin_counts": bin_counts,
     "location_counts": location_counts,
     "trips_collapsed": trips_collapsed,
@@ -138,7 +172,23 @@ FROM sides GROUP BY sec // {seconds}, x, y"""
 _COLLAPSED = f"""WITH {e.TRIPS_SQL}
 SELECT driver_id, passenger_id, bin_key, count(*) AS matches, min(cost) AS min_cost, max(cost) AS max_cost"""
 
+_CROWDED = f"""WITH {e.CROWDED_SQL}
+SELECT d.event_id AS driver_event_id, count(*) AS trips,
+       cast(sum(cast(round({e.COST_SQL} * 100) AS bigint)) AS bigint) AS cents,
+       cast(sum(p.event_id) AS bigint) AS passenger_ids
+FROM bd d JOIN bp p ON d.slot = p.slot AND d.bin_0 = p.bin_0 AND d.bin_1 = p.bin_1
+                   AND p.offer >= d.offer * 0.75::double
+GROUP BY d.event_id"""
+_STABLE_TEXT = f"""concat_ws('|', ({e.EPOCH} + d.sec // 15 * 15) * 1000000, d.bin_0, d.bin_1, d.plate_id, d.offer, d.lon,
+         d.lat, d.event_id, p.passenger_id, p.offer, p.lon, p.lat, p.drop_0, p.drop_1, p.event_id)"""
+
 ORACLES = {
+    "match_stable": f"""WITH {e.EVENT_SQL}
+SELECT d.event_id AS driver_event_id, p.event_id AS passenger_event_id,
+       regexp_replace(md5({_STABLE_TEXT}), '(.{{8}})(.{{4}})(.{{4}})(.{{4}})(.{{12}})', '\\1-\\2-\\3-\\4-\\5') AS trip_id
+{e.PAIR_SQL} AND p.offer >= d.offer * 0.75::double""",
+    "match_crowded": _CROWDED,
+    "stream_match_crowded": _CROWDED,
     **{f"match_{name}": sql for name, sql in _SQL.items()},
     **{f"stream_match_{name}": sql for name, sql in _SQL.items()},
     "stream_match_raw": _PRICED,

@@ -113,11 +113,22 @@ def _text_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").select(
         F.concat(F.lit("doc-"), F.col("doc_id").cast("string")).alias("file"),
         F.explode(F.split("text", "\n")).alias("line"))
-    tracks = e.read_events(spark, sf_dir).select(
+    return documents.unionByName(_track_lines(spark, sf_dir))
+
+
+def _track_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return e.read_events(spark, sf_dir).select(
         F.concat(F.lit("track-"), F.col("user_id").cast("string")).alias("file"),
         F.when(F.col("event_type") == "error", F.lit("<name>x, y</name>"))
         .otherwise(F.concat_ws(",", e.lon().cast("string"), e.lat().cast("string"), F.lit("0"))).alias("line"))
-    return documents.unionByName(tracks)
+
+
+def coordinate_files_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of the tracks as text files, read back whole."""
+    path = work_dir(spark, "coordinates")
+    _track_lines(spark, sf_dir).select("line").write.text(path)
+    lines = route_files.read_coordinate_text(spark, path)
+    return route_files.coordinate_lines(lines).select("first", "second", "valid")
 
 
 def coordinate_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,6 +181,7 @@ QUERIES = {
     "kml_document_points": kml_document_points,
     "coordinate_payment": coordinate_payment,
     "coordinate_lines": coordinate_lines,
+    "coordinate_files_read": coordinate_files_read,
     "latest_positions": latest_positions,
     "latest_position": latest_position,
     "stream_latest_positions": stream_latest_positions,
@@ -245,6 +257,8 @@ SELECT file, count(*) FILTER (WHERE wanted AND valid) AS valid_lines,
        {e.money_sql('0.10::double * count(*) FILTER (WHERE wanted AND valid)')} AS payment
 FROM judged GROUP BY file""",
     "coordinate_lines": _LINES + " SELECT file, first, second, valid FROM judged WHERE wanted",
+    "coordinate_files_read": f"""WITH {e.EVENT_SQL}
+SELECT lon AS first, lat AS second, true AS valid FROM ev WHERE event_type <> 'error'""",
     "latest_positions": _MOVED + ", max(stamp) AS at, id FROM moved GROUP BY id",
     "latest_position": _MOVED + ", max(stamp) AS at FROM moved",
     "stream_latest_positions": _MOVED + ", max(stamp) AS ts, id FROM moved GROUP BY id",

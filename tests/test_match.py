@@ -148,3 +148,17 @@ def test_drivers_standing_at_a_dropoff(spark):
     sides = frames(spark, drivers, passengers)
     assert kpis.matched_drivers_from_messages(*sides).first()[0] == 2
     assert kpis.matched_drivers(m.match_priced(*sides)).first()[0] == 2
+
+
+def test_known_crowded_bins_are_cut_without_counting(spark, monkeypatch):
+    drivers, passengers = crowd(9, 400, 6)
+    sides = frames(spark, drivers, passengers)
+    cfg = dataclasses.replace(PRICED, split=SPLIT)
+    bins = m.crowded_bins(*sides, cfg)
+    rows = {(r["bin_0"], r["bin_1"]): (r["left_parts"], r["right_parts"]) for r in bins.collect()}
+    assert min(rows[int(-0.37 / 0.00025), int(39.47 / 0.00025)]) > 4
+    monkeypatch.setattr("hopgrid.operators.skew.hot_keys", None)  # nothing may be counted
+    trips = m.match_priced(*sides, dataclasses.replace(cfg, crowded=bins), carry=["event_id"])
+    assert found(trips) == pairs(drivers, passengers, 15, lambda d, p: same_bin(d, p) and compatible(d, p))
+    with pytest.raises(ValueError):
+        m.match_exact(*sides, dataclasses.replace(EXACT, crowded=bins))

@@ -41,6 +41,11 @@ def test_flagship_plan(spark):
     assert len(re.findall(r"\) Exchange\n", big)) == 2 and "SortMergeJoin" in big
 
 
+def test_crowded_bins_are_cut(spark):
+    text = plan(QUERIES["match_crowded"](spark, "/root/testdata/sf0.01"))
+    assert "_left_block" in text and "_right_block" in text
+
+
 def test_aggregates_on_fixed_width_state(spark):
     for name in ("latest_positions", "latest_position", "passenger_of_trips", "route_requests", "bounding_boxes"):
         text = plan(QUERIES[name](spark, SMALL))

@@ -6,11 +6,11 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from hopgrid.config import EXACT, PRICED
+from hopgrid.config import EXACT, PRICED, SplitPolicy
 from hopgrid.operators import match as m
 from hopgrid.operators.records import keyed_points
 from hopgrid.session import work_dir
-from hopgrid.sinks.tables import append_table, send_to_files
+from hopgrid.sinks.tables import append_stream, append_table, send_to_files
 from hopgrid.sources.messages import replay_messages
 from hopgrid.streaming import match as st
 from messages import DRIVER, PASSENGER, at, crowd, driver, frames, passenger
@@ -34,7 +34,6 @@ def test_stream_equals_batch(spark, tmp_path, matcher, cfg):
     streams = [feed(spark, str(tmp_path / n), f) for n, f in (("d", drivers), ("p", passengers))]
     trips = st.match_stream(*streams, cfg, matcher, ["event_id"])
     columns = [*st.MATCHERS[matcher][1], "driver_event_id", "passenger_event_id"]
-    from hopgrid.sinks.tables import append_stream
     append_stream(trips, str(tmp_path / "out"), str(tmp_path / "cp"), tuple(columns), trigger=NOW).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out")).drop("trip_id")
     want = st.MATCHERS[matcher][0](drivers, passengers, cfg, carry=["event_id"]).select(got.columns)
@@ -42,6 +41,20 @@ def test_stream_equals_batch(spark, tmp_path, matcher, cfg):
     assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
 
 
+def test_stream_cuts_known_crowded_bins(spark, tmp_path):
+    cfg = dataclasses.replace(PRICED, lateness="5 minutes", split=SplitPolicy(block_rows=8, sample_fraction=1.0))
+    drivers, passengers = frames(spark, *crowd(8, 300, 6))
+    m.crowded_bins(drivers, passengers, cfg).write.parquet(str(tmp_path / "bins"))
+    cut = dataclasses.replace(cfg, crowded=spark.read.parquet(str(tmp_path / "bins")))
+    streams = [feed(spark, str(tmp_path / name), frame, 3) for name, frame in (("d", drivers), ("p", passengers))]
+    trips = st.match_stream(*streams, cut, "priced", ["event_id"])
+    ids = ["driver_event_id", "passenger_event_id"]
+    append_stream(trips, str(tmp_path / "t"), str(tmp_path / "cp"), tuple(ids), trigger=NOW).awaitTermination()
+    stored = sorted(map(tuple, spark.read.parquet(str(tmp_path / "t")).select(*ids).collect()))
+    batch = m.match_priced(drivers, passengers, cfg, carry=["event_id"]).select(*ids)
+    assert stored == sorted(map(tuple, batch.collect())) and stored
+
+
 def test_late_messages_are_discarded(spark, tmp_path):
     """A driver that arrives long after its window was closed finds no partner."""
     def write(name, kind, n, rows):
