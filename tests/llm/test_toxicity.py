@@ -57,3 +57,39 @@ def test_little_to_learn(spark, rows):
     got = tx.score(docs, tx.learn(docs, labels)).collect()
     assert len(got) == 4 and all(0 <= r.score <= 1 for r in got)
     assert tx.score(docs.where("false"), tx.learn(docs, labels)).count() == 0
+
+
+def test_full_words_and_beginnings_take_errors():
+    chosen = tx.choose_terms({"scum*": 30, "scumbag": 12, "scumbags": 18, "scumba*": 30}, {}, 50, 50)
+    assert {"scumbag", "scumbags"} <= set(chosen) and any(t.endswith("*") for t in chosen)
+    lexicon = tx.FuzzyLexicon(["scumbag", "scumb*", "moro", "idiot"])
+    for word in ("scmbag", "csumbag", "sxumbag", "scunbly", "mroo", "idoit"):
+        assert lexicon.hit(word) > 1, word
+    assert lexicon.match("scunbly") == 2 and lexicon.hit("idiot") == 1
+    assert tx.FuzzyLexicon(["idiot"], frozenset(["idot"])).hit("idot") == 0
+
+
+def misspelled_recall(spark, sf_dir):
+    """Held-out toxic texts reduced to their hits, misspelled: how many are found; and how many held-out clean texts are marked."""
+    read = lambda n: spark.read.parquet(f"{sf_dir}/{n}.parquet")
+    docs, labels = read("documents"), read("labels")
+    model = tx.learn(docs, labels)
+    terms = tx.FuzzyLexicon(model.terms)
+    rows = docs.join(labels, "doc_id").where(tx.held_out("doc_id")).select("text", "toxic").collect()
+    toxic = []
+    for r in rows:
+        words = [m.group() for m in tx.WORD.finditer(r.text or "") if terms.match(m.group().lower()) == 1 and len(m.group()) > 3
+                 and not tx.quoted(r.text.lower(), *m.span())] if r.toxic == 1 else []
+        if words:
+            swap = {w: w[:2] + w[3:] if len(w) > 5 else w[:1] + w[2] + w[1] + w[3:] for w in words}  # a letter dropped, or two swapped
+            text = tx.WORD.sub(lambda m: swap.get(m.group(), m.group()), r.text)
+            if not any(terms.match(w.lower()) == 1 for w in tx.WORD.findall(text)):
+                toxic.append(text)
+    clean = [r.text or "" for r in rows if r.toxic == 0]
+    marked = lambda texts: sum(s >= 0.5 for s in model.scores(texts)) if texts else 0
+    return marked(toxic), len(toxic), marked(clean), len(clean)
+
+
+def test_misspelled_only(spark):
+    found, toxic, wrong, clean = misspelled_recall(spark, "/root/testdata/sf0.01")
+    assert toxic and found >= 0.7 * toxic and wrong <= 0.03 * clean
