@@ -1,7 +1,8 @@
 """Toxicity by a learned lexicon, misspellings included, and the context of each hit.
 
-1. ``learn_lexicon``: terms (words, and word beginnings for inflected ones)
-   whose document frequency in toxic texts exceeds that in others by far.
+1. ``learn``: terms (words, and word beginnings for inflected ones) in LEAST
+   toxic texts whose document frequency there exceeds that in others by far.
+   Neither bound grows with the number of documents, and all such terms count.
 2. ``FuzzyLexicon``: Levenshtein automata of all terms run on the lexicon's trie
    at once. A state is a set of (trie node, errors so far); states and their
    transitions are made when first met and kept, so a word costs one lookup
@@ -40,7 +41,6 @@ from pyspark.sql import DataFrame, functions as F
 from hopgrid.llm.common import held_out, text_or_empty
 
 SAMPLE = 12_000
-TERMS = 256           # terms of the lexicon at most
 LIFT = 2.5            # least log ratio of document frequencies
 LEAST = 8             # least number of toxic documents with a term
 WINDOW = 60           # characters looked at on either side of a hit
@@ -244,14 +244,22 @@ def choose_terms(toxic: dict[str, int], other: dict[str, int], n_toxic: int, n_o
     good = {t: lift(t) for t in toxic if toxic[t] >= LEAST}
     good = {t: v for t, v in good.items() if v >= LIFT}
     chosen: list[str] = []
+    most: dict[str, int] = {}           # string -> largest count of the chosen terms that start with it
+    stems: dict[str, int] = {}          # chosen words and beginnings, without the star -> largest count
+    absorbing: set[str] = set()
     for t in sorted(good, key=lambda t: (-toxic[t] * good[t], t.endswith("*"), -len(t), t)):
         stem = t.rstrip("*")
-        near = [c for c in chosen if stem.startswith(c.rstrip("*")) or c.rstrip("*").startswith(stem)]
+        heads = [stem[:n] for n in range(1, len(stem) + 1)]
         # A full word stays next to its beginning: with it goes its allowance of errors.
-        if not t.endswith("*") or not any(c.endswith("*") and stem.startswith(c[:-1]) or toxic[t] <= 1.2 * toxic[c] for c in near):
-            chosen.append(t)
-        if len(chosen) == TERMS:
-            break
+        if t.endswith("*"):
+            near = max([most.get(stem, 0), *(stems.get(h, 0) for h in heads)])
+            if any(h in absorbing for h in heads) or near and toxic[t] <= 1.2 * near:
+                continue
+            absorbing.add(stem)
+        chosen.append(t)
+        stems[stem] = max(stems.get(stem, 0), toxic[t])
+        for h in heads:
+            most[h] = max(most.get(h, 0), toxic[t])
     return chosen
 
 
@@ -292,23 +300,21 @@ def learn(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         bias = math.log(base / (1 - base)) if 0 < base < 1 else 30.0 * (1 if base else -1)
         return Model([], np.r_[bias, np.zeros(FEATURES - 1)])
 
-    def counted(wanted: frozenset | None):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            found: Counter = Counter()
-            for batch in batches:
-                for t in batch.column(1):
-                    terms = terms_of(t.as_py())
-                    found.update(terms if wanted is None else terms & wanted)
-            yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["term", "n"])
-        return run
-
-    def frequencies(y: int, wanted: frozenset | None, least: int) -> dict[str, int]:
-        counts = rows.where(F.col("_y") == y).mapInArrow(counted(wanted), "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
-        return {r.term: r.n for r in counts.where(F.col("n") >= least).collect()}
-
-    # Terms in at least LEAST of at most SAMPLE documents: bounded, whatever the input.
-    often = frequencies(1, None, max(LEAST, size[1] // 50))
-    terms = choose_terms(often, frequencies(0, frozenset(often), 1), size[1], size[0])
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: tuple[Counter, Counter] = (Counter(), Counter())
+        for batch in batches:
+            for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                found[y].update(terms_of(t))
+        for y in (0, 1):
+            yield pa.RecordBatch.from_arrays([pa.array(list(found[y]), pa.string()), pa.array([y] * len(found[y]), pa.int32()),
+                                              pa.array(list(found[y].values()), pa.int64())], ["term", "y", "n"])
+
+    both = rows.mapInArrow(counted, "term string, y int, n long").groupBy("term").agg(
+        F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("other"))
+    lift = F.log((F.col("toxic") + .5) / (size[1] + 1)) - F.log((F.col("other") + .5) / (size[0] + 1))
+    # Terms that toxic documents hold so much oftener, in LEAST of at most SAMPLE documents: bounded, whatever the input.
+    often = both.where((F.col("toxic") >= LEAST) & (lift >= LIFT - 1e-6)).collect()
+    terms = choose_terms({r.term: r.toxic for r in often}, {r.term: r.other for r in often}, size[1], size[0])
 
     clean = clean_neighbours(rows, terms, size)
 

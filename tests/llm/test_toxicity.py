@@ -93,3 +93,20 @@ def misspelled_recall(spark, sf_dir):
 def test_misspelled_only(spark):
     found, toxic, wrong, clean = misspelled_recall(spark, "/root/testdata/sf0.01")
     assert toxic and found >= 0.7 * toxic and wrong <= 0.03 * clean
+
+
+def rare_corpus(n_terms=400, each=12):
+    """Toxic texts with one term each of a long-tailed vocabulary; every term stands in ``each`` of them, 0.25 % of all."""
+    letters = "bdfgklmnprstvz"
+    term = lambda k: "q" + "".join(letters[k // 14 ** i % 14] + "aeiou"[(k + i) % 5] for i in range(3)) + "x"
+    filler = lambda i: f"some plain words here number {'abcdefghij'[i % 10] * 5} and more"
+    toxic = [(i, f"{filler(i)} {term(i % n_terms)}", 1) for i in range(n_terms * each)]
+    return toxic + [(len(toxic) + i, filler(i), 0) for i in range(len(toxic))]
+
+
+def test_rare_terms_of_a_long_tail(spark):
+    rows = spark.createDataFrame(rare_corpus(), "doc_id long, text string, toxic int").repartition(4)
+    got = tx.score(rows, tx.learn(rows, rows)).join(rows, "doc_id").where("held_out").groupBy("toxic").agg({"predicted": "avg"}).collect()
+    share = {r[0]: r[1] for r in got}
+    # LEAST documents must be left when a fifth is held out: nearly every term has them
+    assert share[1] > 0.85 and share[0] == 0
