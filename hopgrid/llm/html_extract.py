@@ -5,12 +5,16 @@ ancestors, text, link and punctuation density of its subtree, depth, place
 among its siblings and their densities. Boosted regression trees give the
 probability that an element leads to main text. Decoding then picks the most
 likely consistent choice: below a rejected element everything is rejected.
+Text that stands in no element (directly under ``body``, or in a page without
+tags) is a leaf of its own, which trees and decoding judge like an element.
 
 Training pages come from the table itself: up to ``SAMPLE`` pages (smallest
 hashes) that mark their article as ``article`` or ``main``. So that the model
 does not lean on one template, each is also used in ``VARIANTS`` rewritten
 forms: regions change tag and attribute words, and boilerplate of other kinds,
-with words of the page, is put around and into the article.
+with words of the page, is put around and into the article. Further forms have
+the article without an element around it, or as plain text; from them trees of
+their own learn to judge text without an element.
 
 Null and empty pages, and pages without main text, give an empty text. Without
 a page to learn from, link density and attribute words decide alone.
@@ -36,7 +40,7 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 RAW = frozenset("script style textarea title noscript template iframe svg".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup "
                    "time tt u var".split())
-TAGS = ["article", "main", "section", "div", "p", "h", "list", "li", "a", "nav", "header", "footer", "aside", "form", "table", "inline", "quote", "other"]
+TAGS = ["article", "main", "section", "div", "p", "h", "list", "li", "a", "nav", "header", "footer", "aside", "form", "table", "inline", "quote", "other", "#text"]
 KIND = {"h1": "h", "h2": "h", "h3": "h", "h4": "h", "h5": "h", "h6": "h", "ul": "list", "ol": "list", "dl": "list", "menu": "nav",
         "input": "form", "button": "form", "select": "form", "fieldset": "form", "dialog": "aside", "blockquote": "quote", "pre": "quote",
         "figure": "quote", "tr": "table", "td": "table", "th": "table", "tbody": "table", "dt": "li", "dd": "li"}
@@ -74,6 +78,12 @@ class Page:
                 content = " ".join("".join(text).split())
                 if content:
                     owner = next((k for k in reversed(stack) if self.tag[k] not in INLINE), 0)
+                    if not owner:  # a leaf of its own, as the root is not chosen
+                        owner = len(self.tag)
+                        self.tag.append("#text")
+                        self.parent.append(0)
+                        self.groups.append(frozenset())
+                        self.depth.append(1)
                     self.blocks.append((owner, content))
                     self.link_chars.append(min(links, len(content)))
                 text, links = [], 0
@@ -204,7 +214,7 @@ class Page:
         return out
 
     def text(self, chosen: np.ndarray) -> str:
-        return " ".join(t for node, t in self.blocks if node and chosen[node])
+        return " ".join(t for node, t in self.blocks if chosen[node])
 
 
 class Trees:
@@ -267,7 +277,25 @@ class Trees:
         return 1 / (1 + np.exp(-margin))
 
 
+TEXT_FLAG = 15 + 2 * len(GROUPS) + TAGS.index("#text")
+
+
+class Model:
+    """Trees for elements, and trees for text without an element."""
+
+    def __init__(self, elements: Trees | None, texts: Trees | None):
+        self.elements, self.texts = elements, texts
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        chance, loose = np.zeros(len(x)), x[:, TEXT_FLAG] > 0
+        for rows, trees in ((~loose, self.elements), (loose, self.texts)):
+            if rows.any():
+                chance[rows] = trees.predict(x[rows]) if trees else _plain_chance(x[rows])
+        return chance
+
+
 MARK = "data-main"
+BEGIN, END = "<!--hopmark-->", "<!--/hopmark-->"  # around an article without an element
 
 
 def _region(rng, kind: str, words: list[str], inner: str | None = None) -> str:
@@ -326,6 +354,35 @@ def training_pages(source: str, seed: int) -> list[str]:
         else:
             head_, tail_ = "<html><body>", "</body></html>"
         out.append(f"{head_}{put(int(rng.integers(0, 3)))}{main}{put(int(rng.integers(0, 3)))}{tail_}")
+    return out + _unwrapped(body, words, rng)
+
+
+def _unwrapped(body: str, words: list[str], rng) -> list[str]:
+    """Forms of an article without an element around it: among regions and loose boilerplate, as text with breaks, as plain text."""
+    kinds = [k for k in GROUPS if k != "main"]
+    put = lambda n: "".join(_region(rng, str(k), words) for k in rng.choice(kinds, n))
+    some = lambda n: " ".join(rng.choice(words, n))
+
+    def loose() -> str:
+        if rng.random() < 0.5:
+            return ""
+        links = " | ".join(f'<a href="#">{some(rng.integers(1, 4))}</a>' for _ in range(rng.integers(2, 7)))
+        return f"<hr>{links}<hr>" if rng.random() < 0.7 else f"{some(rng.integers(1, 4))} {links}"
+
+    paragraphs = [t for b in re.split(r"</?(?:p|h[1-6]|div|section|ul|ol|li)\b[^>]*>", body) if (t := re.sub(r"<[^>]*>", " ", b).strip())]
+    if not paragraphs:
+        return []
+    flat = "<br><br>".join(paragraphs)
+    out = []
+    for inner in (body, flat):
+        regions = [put(int(rng.integers(0, 3))) for _ in range(2)]
+        # Loose links stay apart from the article by a region, else they are one text with it.
+        before = loose() + regions[0] if regions[0] else ""
+        after = regions[1] + loose() if regions[1] else ""
+        out.append(f"<html><body>{before}{BEGIN}{inner}{END}{after}</body></html>")
+    plain = " ".join(paragraphs).split(" ")
+    plain = " ".join(plain[:int(rng.integers(1, len(plain) + 1))] if rng.random() < 0.5 else plain[:int(rng.integers(1, 12))])
+    out.append(f"{BEGIN}{plain}{END}")
     return out
 
 
@@ -335,6 +392,10 @@ REJECTED_TAGS = frozenset("nav header footer aside form menu dialog button".spli
 
 def training_rows(source: str) -> tuple[np.ndarray, np.ndarray] | None:
     """Features and targets of a marked page: an element is wanted if it leads to text of the article that no region within takes away."""
+    if BEGIN in source:
+        page = Page(source)
+        first, end = (len(Page(source[:source.index(mark)]).tag) for mark in (BEGIN, END))
+        return _targets(page, first, end, lambda i: page.parent[i] < first)
     main = re.search(rf"<(\w+) {MARK}", source)
     page = Page(source.replace(f" {MARK}", f" {MARK} id=\"hopmark\"", 1)) if main else None
     if page is None:
@@ -343,10 +404,15 @@ def training_rows(source: str) -> tuple[np.ndarray, np.ndarray] | None:
     mark = len(before.tag)  # the marked element is the next one
     if mark >= len(page.tag):
         return None
+    return _targets(page, mark, len(page.tag), lambda i: False, mark)
+
+
+def _targets(page: Page, first: int, end: int, top, mark: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    """Features and targets of nodes; those of the article are in [first, end), below ``mark`` or a node that ``top`` names."""
     wanted, inside = np.zeros(len(page.tag), bool), np.zeros(len(page.tag), bool)
-    for i in range(mark, len(page.tag)):
+    for i in range(first, end):
         rejected = page.tag[i] in REJECTED_TAGS or not page.groups[i].isdisjoint(REJECT)
-        inside[i] = i == mark or inside[page.parent[i]] and not rejected
+        inside[i] = i == mark or (inside[page.parent[i]] or top(i)) and not rejected
     for node, _ in page.blocks:
         if inside[node]:
             while node >= 0 and not wanted[node]:
@@ -355,18 +421,24 @@ def training_rows(source: str) -> tuple[np.ndarray, np.ndarray] | None:
     return page.features()[1:], wanted[1:].astype(float)
 
 
-def learn(pages: DataFrame, html_: str = "html") -> Trees | None:
+def learn(pages: DataFrame, html_: str = "html") -> Model | None:
     """Trees from at most SAMPLE pages."""
     clear = pages.where(F.lower(F.col(html_)).rlike("<(article|main)\\b"))
     hashed = clear.select(F.xxhash64(html_).alias("_h"), F.col(html_).alias("_html"))
     # Hashes first: tasks must not send SAMPLE whole pages each.
     least = [r._h for r in hashed.select("_h").orderBy("_h").limit(SAMPLE).collect()]
     rows = sorted(hashed.where(F.col("_h") <= least[-1]).dropDuplicates(["_h"]).collect()) if least else []
-    found = [r for row in rows for source in training_pages(row._html, row._h % 2**32) if (r := training_rows(source)) is not None]
-    found = [r for r in found if len(r[0])]
-    if not found:
-        return None
-    return Trees(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]))
+    elements, texts = [], []
+    for row in rows:
+        for source in training_pages(row._html, row._h % 2**32):
+            if (r := training_rows(source)) is not None:
+                loose = r[0][:, TEXT_FLAG] > 0
+                texts.append((r[0][loose], r[1][loose]))
+                if BEGIN not in source:
+                    elements.append((r[0][~loose], r[1][~loose]))
+    trees = [Trees(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])) if sum(len(y) for _, y in found) else None
+             for found in (elements, texts)]
+    return Model(*trees) if any(trees) else None
 
 
 def _plain_chance(x: np.ndarray) -> np.ndarray:
@@ -374,7 +446,7 @@ def _plain_chance(x: np.ndarray) -> np.ndarray:
     return np.where(flags | (x[:, 1] > 0.5), 0.1, 0.9)
 
 
-def extract_texts(sources: list[str], model: Trees | None) -> list[str]:
+def extract_texts(sources: list[str], model: Model | None) -> list[str]:
     pages = [Page(s) for s in sources]
     x = np.concatenate([p.features() for p in pages])
     chance = model.predict(x) if model else _plain_chance(x)

@@ -76,3 +76,18 @@ def test_trees_learn():
     x = rng.normal(size=(3000, 5))
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
     assert ((hx.Trees(x, y).predict(x) > 0.5) == y).mean() > 0.97
+
+
+def test_text_without_an_element(model):
+    words = "alpha beta gamma delta epsilon zeta eta theta".split()
+    rng = np.random.default_rng(8)
+    say = lambda n: " ".join(rng.choice(words, n)) + "."
+    one, two = say(60), say(80)
+    nav = "<nav><a href=a>Home page</a> <a href=b>News</a></nav>"
+    pages = {f"<html><body>{one}<br><br>{two}</body></html>": f"{one} {two}", "no tags &amp; so": "no tags & so", f"{one}\n{two}": f"{one} {two}",
+             f"<html><body>{nav}{one}<br>{two}<footer>{say(5)}</footer></body></html>": f"{one} {two}",
+             f"<html><body>{nav}<div class=sidebar><p>{say(4)}</p></div></div></p>{one} <b>{two}</b></body></html>": f"{one} {two}"}
+    assert hx.extract_texts(list(pages), model) == list(pages.values())
+    assert hx.extract_texts(list(pages)[:3], None) == list(pages.values())[:3]
+    links = "".join(f"<a href=x>{say(2)}</a> | " for _ in range(6))
+    assert "|" not in hx.extract_texts([f"<html><body>{links}<article><p>{one}</p><p>{two}</p></article></body></html>"], model)[0]
