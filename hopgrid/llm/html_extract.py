@@ -59,6 +59,8 @@ GROUPS = list(WORDS)
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+# On the source itself: lower-casing can lengthen a text.
+RAW_END = {tag: re.compile("</" + tag, re.I | re.A) for tag in RAW}
 HIDDEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
 
 
@@ -70,7 +72,6 @@ class Page:
         self.blocks: list[tuple[int, str]] = []
         self.link_chars: list[int] = []
         stack, text, links = [0], [], 0
-        lower = None
 
         def flush():
             nonlocal text, links
@@ -116,9 +117,8 @@ class Page:
                 continue
             if tag in RAW:
                 if not m.group(3).endswith("/"):
-                    lower = source.lower() if lower is None else lower
-                    close = lower.find("</" + tag, at)
-                    end = len(source) if close < 0 else source.find(">", close) + 1 or len(source)
+                    close = RAW_END[tag].search(source, at)
+                    end = source.find(">", close.start()) + 1 or len(source) if close else len(source)
                     at = skip_to = end
                 continue
             if tag not in INLINE:

@@ -91,3 +91,8 @@ def test_text_without_an_element(model):
     assert hx.extract_texts(list(pages)[:3], None) == list(pages.values())[:3]
     links = "".join(f"<a href=x>{say(2)}</a> | " for _ in range(6))
     assert "|" not in hx.extract_texts([f"<html><body>{links}<article><p>{one}</p><p>{two}</p></article></body></html>"], model)[0]
+
+
+def test_closing_tags_after_letters_that_grow():
+    page = hx.Page("<p>" + "İ" * 40 + "</p><script>x</SCRIPT><p>kept</p><p>last</p>")
+    assert [t for _, t in page.blocks] == ["İ" * 40, "kept", "last"]
