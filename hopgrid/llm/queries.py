@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from hopgrid.llm.bpe import encode_decode
 from hopgrid.llm.common import read_table
-from hopgrid.llm import embedding_dedup, toxicity
+from hopgrid.llm import byte_bpe, embedding_dedup, toxicity
 from hopgrid.llm.exact_dedup import exact_duplicates
 from hopgrid.llm.html_extract import main_texts
 from hopgrid.llm.language import identify
@@ -20,6 +20,7 @@ from hopgrid.llm.suffix_dedup import remove_repeats
 
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(read_table(spark, sf_dir, "pages"))
 
 
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.encode_decode(read_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, digests=True)
+
+
 NORMAL = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')"
 
 
@@ -99,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
+    "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLES: dict[str, str] = {
     "op2_embedding_dedup": OP2_SQL,
