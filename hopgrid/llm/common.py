@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from hopgrid.session import work_dir
 
@@ -49,6 +50,49 @@ def text_blocks(texts: list, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         yield start, len(texts)
 
 
+def numbered(rows: DataFrame, group: list[str], order: list[str], purpose: str) -> DataFrame:
+    """``rows`` with ``group_id``, ``place`` in the group by ``order`` (from 0) and ``size`` of the group.
+
+    Nulls come first; group ids ascend as the groups do. Rows are dealt out by
+    ranges of (group, order, place in the input), so neither a large group nor
+    many equal rows land in one task; only the runs of a group, one per task it
+    touches, are added up. ``rows`` should be a stored table: it is read twice,
+    and its order must not change when a task runs again.
+    """
+    keys = [*group, *order, "_input"]
+    dealt = rows.withColumn("_input", F.monotonically_increasing_id()).repartitionByRange(*keys)
+    dealt = stored(dealt.sortWithinPartitions(*keys).drop("_input").withColumn("_at", F.monotonically_increasing_id()), purpose)
+    task = F.shiftright("_at", 33).alias("_task")
+    runs = dealt.groupBy(task, *group).agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    own = Window.partitionBy(*group)
+    before = own.orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select(
+        "_task", "_first", F.min("_first").over(own).alias("group_id"), F.sum("_n").over(own).alias("size"),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"), *[F.col(g).alias(f"_run_{g}") for g in group])
+    same = [F.col("_task_of") == F.col("_task"), *[F.col(g).eqNullSafe(F.col(f"_run_{g}")) for g in group]]
+    joined = dealt.withColumn("_task_of", F.shiftright("_at", 33)).join(runs, same)
+    return joined.select(*rows.columns, "group_id", (F.col("_before") + F.col("_at") - F.col("_first")).alias("place"), "size")
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """Consecutive rows with equal keys (integers without null) of sorted batches, one table each."""
+    held, last = [], None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = np.stack([batch.column(k).to_numpy(zero_copy_only=False) for k in keys])
+        ends = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
+        for a, b in zip([0, *ends.tolist()], [*ends.tolist(), batch.num_rows]):
+            key = tuple(values[:, a].tolist())
+            if held and key != last:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+            last = key
+    if held:
+        yield last, pa.Table.from_batches(held)
+
+
 def roots_of(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Smallest member of each node's component, for nodes 0 to n-1 and links left-right."""
     label = np.arange(n)

@@ -5,14 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hopgrid.llm.bpe import encode_decode
 from hopgrid.llm.common import read_table
-from hopgrid.llm import byte_bpe, embedding_dedup, toxicity
+from hopgrid.llm import byte_bpe, embedding_dedup, merkle, toxicity
 from hopgrid.llm.exact_dedup import exact_duplicates
 from hopgrid.llm.html_extract import main_texts
 from hopgrid.llm.language import identify
+from hopgrid.llm.oracles import OP12_SQL
 from hopgrid.llm.packing import pack
 from hopgrid.llm.sharding import shards
 from hopgrid.llm.simhash import near_duplicates
@@ -60,6 +61,17 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(read_table(spark, sf_dir, "pages"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    even = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
+    tampered = merkle.leaf_digest(text=F.translate(F.col("text"), "\n", ""))
+    presented = F.unhex(F.when(even, tampered).otherwise(merkle.leaf_digest()))
+    proved = merkle.proofs(merkle.build_manifest(docs, presented=presented))
+    checked = merkle.verify(proved.withColumn("presented", F.lower(F.hex("presented"))), "presented")
+    return checked.select("doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("path")), 256).alias("proof_sha256"),
+                          "folded_root", "verified")
+
+
 def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode(read_table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN, digests=True)
 
@@ -104,9 +116,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLES: dict[str, str] = {
     "op2_embedding_dedup": OP2_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op12_merkle_manifest": OP12_SQL,
 }
