@@ -60,3 +60,28 @@ folded AS (SELECT row_id, arg_max(digest, level) AS folded_root, sha256(arg_max(
 SELECT d.doc_id, d.leaf, t.digest AS subroot, r.digest AS root, f.proof_sha256, f.folded_root, f.folded_root = r.digest AS verified
 FROM docs d JOIN folded f USING (row_id) JOIN tops t ON d.tree = t.place CROSS JOIN (SELECT digest FROM over WHERE n = 1) r
 """
+
+
+OP11_SQL = f"""
+WITH turns AS (
+  SELECT conv_id AS c, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS t,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS k FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(t ORDER BY k) AS ts, {crc32_sql("c::VARCHAR")} % 6 AS h FROM turns GROUP BY c),
+built AS (
+  SELECT a.c, list_concat(coalesce(b.ts[1:a.h], []), a.ts[a.h + 1:]) AS ts FROM own a LEFT JOIN own b ON b.c = a.c - a.c % 100),
+paths AS (SELECT c, len(ts) AS n, unnest(range(0, len(ts) + 1)) AS d, ts FROM built),
+nodes AS (
+  SELECT d, md5(ts[1:d]::VARCHAR || '#' || to_json(ts[1:d])::VARCHAR) AS node, min(c) AS conv_id, count(*) AS n_convs,
+    CASE WHEN d = 0 THEN 0 ELSE any_value(length(ts[d].text)) END AS last_tokens, any_value(ts[1:d]) AS prefix,
+    CASE WHEN d = 0 THEN NULL ELSE any_value(md5(ts[1:d - 1]::VARCHAR || '#' || to_json(ts[1:d - 1])::VARCHAR)) END AS parent,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '')) AS ends_sha256
+  FROM paths GROUP BY d, node),
+children AS (SELECT parent AS node, count(*) AS n_children FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN children USING (node)),
+below AS (
+  SELECT a.node, count(*) FILTER (b.n_children = 0) AS n_leaves, sum((b.n_convs - 1) * b.last_tokens) AS saved_tokens
+  FROM full_nodes a JOIN full_nodes b ON b.d >= a.d AND b.prefix[1:a.d] = a.prefix GROUP BY a.node)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, b.n_leaves::BIGINT AS n_leaves,
+  b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN below b USING (node) LEFT JOIN full_nodes p ON n.parent = p.node
+"""

@@ -8,12 +8,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from hopgrid.llm.bpe import encode_decode
+from hopgrid.llm.conversation_trie import prefix_trie
 from hopgrid.llm.common import read_table
 from hopgrid.llm import byte_bpe, embedding_dedup, merkle, toxicity
 from hopgrid.llm.exact_dedup import exact_duplicates
 from hopgrid.llm.html_extract import main_texts
 from hopgrid.llm.language import identify
-from hopgrid.llm.oracles import OP12_SQL
+from hopgrid.llm.oracles import OP11_SQL, OP12_SQL
 from hopgrid.llm.packing import pack
 from hopgrid.llm.sharding import shards
 from hopgrid.llm.simhash import near_duplicates
@@ -61,6 +62,10 @@ def op10_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_texts(read_table(spark, sf_dir, "pages"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read_table(spark, sf_dir, "conversations"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     even = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 2 == 0
@@ -116,11 +121,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_dedup": op8_exact_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_html_extraction": op10_html_extraction,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_byte_bpe": op13_byte_bpe,
 }
 ORACLES: dict[str, str] = {
     "op2_embedding_dedup": OP2_SQL,
     "op8_exact_dedup": OP8_SQL,
+    "op11_prefix_trie": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
 }
