@@ -108,20 +108,20 @@ def _running(rows: DataFrame, sums: dict[str, str]) -> DataFrame:
     return joined.select(*[c for c in rows.columns if not c.startswith("_in_")], *[both(n) for n in sums], *[f"all_{n}" for n in sums])
 
 
-def _segments(turns: DataFrame, convs: DataFrame) -> DataFrame:
+def _segments(turns: DataFrame, convs: DataFrame, span: int) -> DataFrame:
     """conv, s, key (digests), tokens (per turn), edge (tokens of the turn before), stem, before (tokens before), totals."""
-    place = F.col("pos") % SPAN
+    place = F.col("pos") % span
     entry = F.struct("pos", "digest", "tokens").alias("entry")
-    s = F.expr(f"pos div {SPAN}")
+    s = F.expr(f"pos div {span}")
     rows = turns.select("conv", s.alias("s"), entry, F.lit(0).cast("long").alias("edge")).unionByName(
         # The last turn of a segment announces the next one, which may be empty.
-        turns.where(place == SPAN - 1).select("conv", (s + 1).alias("s"), F.lit(None).alias("entry"), F.col("tokens").alias("edge"))
+        turns.where(place == span - 1).select("conv", (s + 1).alias("s"), F.lit(None).alias("entry"), F.col("tokens").alias("edge"))
     ).unionByName(convs.select("conv", F.lit(0).cast("long").alias("s"), F.lit(None).alias("entry"), F.lit(0).cast("long").alias("edge")))
     grouped = rows.groupBy("conv", "s").agg(F.sort_array(F.collect_list("entry")).alias("entries"), F.max("edge").alias("edge"))
     segments = grouped.select("conv", "s", F.col("entries.digest").alias("key"), F.col("entries.tokens").alias("tokens"), "edge")
     return _running(segments, {
         "stem_a": "bit_xor(xxhash64(s, key))", "stem_b": "bit_xor(xxhash64('b', key, s))",
-        "before": "sum(aggregate(tokens, 0L, (a, x) -> a + x))", "turns": f"sum(size(key))"})
+        "before": "sum(aggregate(tokens, 0L, (a, x) -> a + x))", "turns": "sum(size(key))"})
 
 
 # --- the forest ---
@@ -272,7 +272,7 @@ RECORD_SQL = ", ".join(f"{f.name} {'boolean' if f.type == pa.bool_() else 'binar
 
 
 def _written(task: int, segment: list[int], nodes: list[Node], lcp: list[int], shared: list[int], names: list[bytes],
-             right: int) -> pa.RecordBatch:
+             right: int, span: int) -> pa.RecordBatch:
     """Contract one run and write finished nodes and open elements as records."""
     done, left = contract(nodes, lcp, shared, names, right)
     unfinished = {id(n.parent) for n in done if n.parent} - {id(n) for n in done}
@@ -280,7 +280,7 @@ def _written(task: int, segment: list[int], nodes: list[Node], lcp: list[int], s
     for n in done:
         p, s = n.total, segment[n.first]
         over = n.parent
-        rows.append((False, task, n.first, s, n.depth, over.depth + 1 if over else s * SPAN, n.more, p.owner, p.n, p.leaves, p.saved,
+        rows.append((False, task, n.first, s, n.depth, over.depth + 1 if over else s * span, n.more, p.owner, p.n, p.leaves, p.saved,
                      p.children, p.end, None, None, None, None, n.name,
                      over.total.owner if over and id(over) not in unfinished else None,
                      over.name if over and id(over) in unfinished else None))
@@ -294,7 +294,7 @@ def _written(task: int, segment: list[int], nodes: list[Node], lcp: list[int], s
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), RECORD)], schema=RECORD)
 
 
-def _edge(before: dict | None, row: dict) -> tuple[int, int, bytes]:
+def _edge(before: dict | None, row: dict, span: int) -> tuple[int, int, bytes]:
     """Depth of the common prefix with the segment before (-1: another stem), its tokens and its name."""
     stem = ("s", "stem_a", "stem_b")
     if before is None or any(before[c] != row[c] for c in stem):
@@ -305,10 +305,10 @@ def _edge(before: dict | None, row: dict) -> tuple[int, int, bytes]:
             break
         same += 1
     name = blake2b(b"%d:%d:%d:%d:" % (*[row[c] for c in stem], same) + b"".join(k[:same]), digest_size=16)
-    return row["s"] * SPAN + same, row["before"] + sum(row["tokens"][:same]), name.digest()
+    return row["s"] * span + same, row["before"] + sum(row["tokens"][:same]), name.digest()
 
 
-def _first_round(classes: DataFrame) -> DataFrame:
+def _first_round(classes: DataFrame, span: int) -> DataFrame:
     """Sort the distinct segments and contract each partition's run."""
     keys = ["s", "stem_a", "stem_b", "key"]
     dealt = stored(classes.repartitionByRange(*keys).sortWithinPartitions(*keys)
@@ -322,7 +322,7 @@ def _first_round(classes: DataFrame) -> DataFrame:
 
     def bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(r["task"], *_edge(r["prior"], r["head"]), _edge(r["tail"], r["next"])[0] if r["next"] else -1)
+            rows = [(r["task"], *_edge(r["prior"], r["head"], span), _edge(r["tail"], r["next"], span)[0] if r["next"] else -1)
                     for r in batch.to_pylist()]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
@@ -335,52 +335,51 @@ def _first_round(classes: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (number,), table in sorted_groups(batches, ["task"]):
             rows = table.to_pylist()
-            edges = [(r["lcp"], r["shared"], r["edge_name"]) if not i else _edge(rows[i - 1], r) for i, r in enumerate(rows)]
+            edges = [(r["lcp"], r["shared"], r["edge_name"]) if not i else _edge(rows[i - 1], r, span) for i, r in enumerate(rows)]
             right = rows[0]["right"]
             nodes = []
             for i, r in enumerate(rows):
-                depth = r["s"] * SPAN + len(r["key"])
+                depth = r["s"] * span + len(r["key"])
                 after = edges[i + 1][0] if i + 1 < len(rows) else right
-                if len(r["key"]) == SPAN:
+                if len(r["key"]) == span:
                     own = Part(r["owner"], r["n"], r["deep_leaves"], r["deep_saved"], 1)
                 else:
                     own = Part(r["owner"], r["n"], int(after != depth), r["saved"], 0, r["owner"])
-                nodes.append(Node(depth, own, more=len(r["key"]) == SPAN))
-            yield _written(number, [r["s"] for r in rows], nodes, *map(list, zip(*edges)), right)
+                nodes.append(Node(depth, own, more=len(r["key"]) == span))
+            yield _written(number, [r["s"] for r in rows], nodes, *map(list, zip(*edges)), right, span)
 
     return runs.mapInArrow(run, RECORD_SQL)
 
 
-def _next_round(open_parts: DataFrame, number: int) -> DataFrame:
-    """Merge the contracted forests of ``FAN`` neighbouring runs."""
+def _next_round(open_parts: DataFrame, span: int, fan: int) -> DataFrame:
+    """Merge the contracted forests of ``fan`` neighbouring runs."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for (task,), table in sorted_groups(batches, ["next_task"]):
             rows = table.to_pylist()
             nodes = [Node(r["depth"], Part(r["owner"], r["n"], r["leaves"], r["saved"], r["children"], r["ended"]),
                           name=r["name"], more=r["more"]) for r in rows]
             yield _written(task, [r["s"] for r in rows], nodes, [r["lcp"] for r in rows], [r["shared"] for r in rows],
-                           [r["edge_name"] for r in rows], rows[-1]["right"])
+                           [r["edge_name"] for r in rows], rows[-1]["right"], span)
 
-    grouped = open_parts.withColumn("next_task", F.expr(f"task div {FAN}"))
+    grouped = open_parts.withColumn("next_task", F.expr(f"task div {fan}"))
     return grouped.repartition("next_task").sortWithinPartitions("next_task", "task", "at").mapInArrow(run, RECORD_SQL)
 
 
-def _forest(classes: DataFrame) -> DataFrame:
+def _forest(classes: DataFrame, span: int, fan: int) -> DataFrame:
     """All finished nodes of all stems: RECORD's columns, parents' owners filled in."""
-    written, closed, late, number = stored(_first_round(classes), "trie-forest"), None, None, 0
+    written, closed, late = stored(_first_round(classes, span), "trie-forest"), None, None
     while True:
         part = written.where("not open")
         closed = part if closed is None else closed.unionByName(part)
         open_parts = written.where("open")
         if open_parts.isEmpty():
             break
-        number += 1
-        written = stored(_next_round(open_parts, number), "trie-forest")
+        written = stored(_next_round(open_parts, span, fan), "trie-forest")
         part = written.where("not open")
         late = part if late is None else late.unionByName(part)
     if late is None:
         return closed
-    # Nodes finished after the first round lie on outer edges of runs: at most 2 * (SPAN + 1) for each task of the sort.
+    # Nodes finished after the first round lie on outer edges of runs: at most 2 * (span + 1) for each task of the sort.
     owners = late.where("name is not null").select(F.col("name").alias("_name"), F.col("owner").alias("_owner"))
     joined = closed.join(F.broadcast(owners), F.col("parent_name") == F.col("_name"), "left")
     return joined.withColumn("parent_owner", F.coalesce("parent_owner", "_owner")).drop("_name", "_owner")
@@ -419,10 +418,10 @@ def _end_hashes(ends: DataFrame) -> DataFrame:
 
 # --- the trie ---
 
-def prefix_trie(conversations: DataFrame) -> DataFrame:
+def prefix_trie(conversations: DataFrame, span: int = SPAN, fan: int = FAN) -> DataFrame:
     """One row per node: conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256."""
     turns, convs = rebuilt_turns(conversations)
-    segments = stored(_segments(stored(turns, "trie-rebuilt"), convs), "trie-segments")
+    segments = stored(_segments(stored(turns, "trie-rebuilt"), convs, span), "trie-segments")
     whole = ["all_turns", "all_stem_a", "all_stem_b"]
     whole_of = segments.where("s = 0").select("conv", *whole, "all_before")
     sequences = stored(whole_of.groupBy(*whole).agg(
@@ -441,12 +440,12 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     longer = below.where("s > 0")
     if not longer.isEmpty():
         # What each stem below the first segments adds by itself goes to its owner, and from there to every segment above.
-        alone = _forest(classes(longer)).where("parent_owner is null")
+        alone = _forest(classes(longer), span, fan).where("parent_owner is null")
         parts = alone.select(F.col("owner").alias("conv"), "s", F.col("leaves").alias("l"), F.col("saved").alias("t"))
         sums = _running(kept.join(parts, ["conv", "s"], "left").na.fill(0, ["l", "t"]), {"to_l": "sum(l)", "to_t": "sum(t)"})
         below = sums.withColumns({"deep_leaves": F.col("all_to_l") - F.col("to_l") - F.col("l"),
                                   "deep_saved": F.col("all_to_t") - F.col("to_t") - F.col("t")})
-    forest = stored(_forest(classes(below)), "trie-nodes")
+    forest = stored(_forest(classes(below), span, fan), "trie-nodes")
 
     # The parent of a stem's top lies in the stem above: its owner, or who took over at that very depth.
     top = (F.col("s") > 0) & F.col("parent_owner").isNull()
@@ -466,7 +465,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     owner_turns = kept.select(F.col("conv").alias("_conv"), F.col("s").alias("_s"), "before", "edge", "tokens")
     nodes = (runs.drop("shared").join(owner_turns, (F.col("owner") == F.col("_conv")) & (F.col("s") == F.col("_s")))
              .withColumn("d", F.explode(F.sequence("low", "high"))))
-    inside = F.col("d") - F.col("s") * SPAN
+    inside = F.col("d") - F.col("s") * span
     earlier = F.aggregate(F.slice("tokens", F.lit(1), F.greatest(inside - 1, F.lit(0)).cast("int")), F.lit(0).cast("long"), lambda a, x: a + x)
     above_tokens = F.when(inside == 0, F.col("before") - F.col("edge")).otherwise(F.col("before") + earlier)
     last = F.col("d") == F.col("high")

@@ -63,12 +63,10 @@ def conversations(seed, convs, words, longest, hot=None):
     (64, 64, [(c, t, "user", f"turn {t}") for c in [*range(100), 5000] for t in range(100 + c % 3)]),  # copies, longer than a segment
 ])
 def test_trie_against_dictionaries(spark, monkeypatch, span, fan, rows):
-    monkeypatch.setattr(ct, "SPAN", span)
-    monkeypatch.setattr(ct, "FAN", fan)
     monkeypatch.setattr(ct, "STRETCH", 4)
     monkeypatch.setattr(ct, "CHUNK", 3)
     frame = spark.createDataFrame([(*r, 1, "x") for r in rows], "conv_id long, turn long, role string, text string, depth int, digest string")
-    got = sorted(map(tuple, ct.prefix_trie(frame).collect()), key=repr)
+    got = sorted(map(tuple, ct.prefix_trie(frame, span, fan).collect()), key=repr)
     assert got == plain_nodes(rebuilt(rows))
 
 
