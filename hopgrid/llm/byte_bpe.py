@@ -1,8 +1,8 @@
 """Byte-level BPE over merge ranks, each pre-token through a hierarchical-bitmap rank queue.
 
 A pre-token's bytes form a linked list. Every neighbouring pair that the
-vocabulary joins stands in the bucket of its merge rank, and three levels of
-64-bit words mark which buckets hold anything: finding the first set bit of
+vocabulary joins stands in the bucket of its merge rank, and two levels of
+256-bit words mark which buckets hold anything: finding the first set bit of
 one word per level gives the lowest rank, whatever the number of pairs. The
 leftmost place of that rank is joined with its right neighbour and the two new
 pairs enter their buckets. Entries whose pair has changed since are stale and
@@ -13,11 +13,13 @@ Results equal the tiktoken library with the same ranks and pattern and no
 special tokens: a pre-token that is itself in the vocabulary is one id, and of
 equal ranks the leftmost pair joins first.
 
-Rows are encoded in the tasks that read them; nothing is shuffled. Results of
-short pre-tokens are kept in a memory of bounded size per task. A text longer
-than ``PART`` characters is handled in parts of whole pre-tokens, so besides
-the text only its ids are held (with ``digests`` not even those); the queue
-takes some 60 bytes per byte of the longest pre-token.
+Rows are encoded in the tasks that read them; nothing is shuffled. Short
+pre-tokens go through the queue together, ``BATCH`` at a time: one bucket then
+holds the places of a rank in all of them. The results of a block of texts are
+kept in a memory of bounded size per task. A text longer than ``BLOCK``
+characters is handled in parts of whole pre-tokens, so besides the text only
+its ids are held (with ``digests`` not even those); the queue takes some 80
+bytes per byte of the longest pre-token.
 
 Null texts are empty and have no ids. Bytes that are not UTF-8 become
 replacement characters. Ids are not read for anything, so rows with null or
@@ -39,13 +41,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
 
-from hopgrid.llm.common import text_or_empty
+from hopgrid.llm.common import text_blocks, text_or_empty
 
-WORDS_KEPT = 300_000
-LONGEST_KEPT = 64    # characters of a pre-token whose ids are remembered
-PART = 1 << 20
-PIECES = 1 << 16     # pre-tokens per part of a long text
-BITS = 6             # a word of a bitmap has 2**6 bits
+WORDS_KEPT = 400_000  # pre-tokens whose ids a task remembers
+SHORT = 256          # bytes of the longest pre-token that is joined together with others
+BATCH = 1 << 16      # pre-tokens joined together
+BLOCK = 4 << 20      # characters of texts encoded together
+PIECES = 1 << 16     # pre-tokens per part of a longer text
+BITS = 8             # a word of a bitmap has 2**8 bits
+LOW = (1 << BITS) - 1
 
 
 class RankQueue:
@@ -53,60 +57,55 @@ class RankQueue:
 
     def __init__(self, ranks: int):
         self.buckets: dict[int, list[int]] = {}
-        self.levels: list[list[int]] = []
-        while not self.levels or len(self.levels[-1]) > 1:
-            ranks = max(1, (ranks + 63) >> BITS)
-            self.levels.append([0] * ranks)
+        self.top = 0                              # which words have a set bit
+        self.words = [0] * ((ranks >> BITS) + 1)  # which ranks have a place
 
     def push(self, rank: int, place: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket:
+        if bucket is not None:
             heappush(bucket, place)
             return
         self.buckets[rank] = [place]
-        for words in self.levels:
-            at, bit = rank >> BITS, 1 << (rank & 63)
-            marked = words[at]
-            words[at] = marked | bit
-            if marked:
-                return
-            rank = at
-
-    def pop(self) -> tuple[int, int] | None:
-        rank = 0
-        for words in reversed(self.levels):
-            word = words[rank]
-            if not word:
-                return None
-            rank = rank << BITS | (word & -word).bit_length() - 1
+        at = rank >> BITS
+        self.words[at] |= 1 << (rank & LOW)
+        self.top |= 1 << at
+
+    def take(self) -> tuple[int, list]:
+        """The lowest rank with all its places, in no order."""
+        at = (self.top & -self.top).bit_length() - 1
+        word = self.words[at]
+        rank = at << BITS | (word & -word).bit_length() - 1
+        self.words[at] = word & (word - 1)
+        if not self.words[at]:
+            self.top &= self.top - 1
+        return rank, self.buckets.pop(rank)
+
+    def put(self, rank: int, places: np.ndarray) -> None:
+        """As ``push``, for many places that ``take`` will fetch together."""
+        bucket = self.buckets.get(rank)
+        if bucket is not None:
+            bucket.append(places)
+            return
+        self.buckets[rank] = [places]
+        at = rank >> BITS
+        self.words[at] |= 1 << (rank & LOW)
+        self.top |= 1 << at
+
+    def pop(self) -> tuple[int, int]:
+        """Only while ``top`` is not 0."""
+        top = self.top
+        at = (top & -top).bit_length() - 1
+        word = self.words[at]
+        rank = at << BITS | (word & -word).bit_length() - 1
         bucket = self.buckets[rank]
-        place = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            at = rank
-            for words in self.levels:
-                bit = 1 << (at & 63)
-                at >>= BITS
-                words[at] ^= bit
-                if words[at]:
-                    break
-        return rank, place
-
-
-class _Words(dict):
-    """Pre-token -> its packed ids, bounded."""
-
-    def __init__(self, encode):
-        super().__init__()
-        self.encode = encode
-
-    def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
-        if len(word) <= LONGEST_KEPT:
-            if len(self) >= WORDS_KEPT:
-                self.clear()
-            self[word] = ids
-        return ids
+        if len(bucket) > 1:
+            return rank, heappop(bucket)
+        del self.buckets[rank]
+        word &= word - 1
+        self.words[at] = word
+        if not word:
+            self.top = top & (top - 1)
+        return rank, bucket[0]
 
 
 class RankBpe:
@@ -119,25 +118,90 @@ class RankBpe:
         self.table = {rank: token for token, rank in self.ranks.items()}
         self._pattern = regex.compile(pattern)
         self._queue = RankQueue(max(self.table) + 1)
-        self._words = _Words(self._pre_token)
+        self._words: dict[str, bytes] = {}
+        self._pair_table()
+
+    def _pair_table(self) -> None:
+        """Every pair of tokens that together are a token, as sorted numbers."""
+        ranks, self._none = self.ranks, max(self.ranks.values()) + 1   # _none: the id of a place between two pre-tokens
+        found = [(ranks[t[:k]] * (self._none + 1) + ranks[t[k:]], rank) for t, rank in ranks.items()
+                 for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks]
+        found.append((1 << 62, -1))
+        self._pairs, self._joined = np.array(sorted(found), np.int64).T.copy()
+        self._bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
+
+    def _rank_of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Merge ranks of pairs of ids, -1 where they do not join."""
+        wanted = left * (self._none + 1) + right
+        at = np.searchsorted(self._pairs, wanted)
+        return np.where(self._pairs[at] == wanted, self._joined[at], -1)
+
+    def join_all(self, pieces: list[bytes]) -> list[bytes]:
+        """Packed ids of many pre-tokens that are not in the vocabulary, all in one queue.
+
+        The pre-tokens lie in one list with a place between them that joins
+        nothing. A bucket is taken whole, and of each pre-token its leftmost
+        place is joined, so each goes through the same joins as alone.
+        """
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        raw = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8)
+        gaps = np.cumsum(lengths + 1) - 1
+        ids = self._bytes[raw]
+        ids[gaps] = self._none
+        owner = np.repeat(np.arange(len(pieces), dtype=np.int32), lengths + 1)
+        after, before = np.arange(1, raw.size + 1), np.arange(-1, raw.size - 1)
+        pair, alive, queue = np.full(raw.size, -1), np.ones(raw.size, bool), self._queue
+        alive[gaps] = False
+        pair[:-1] = self._rank_of(ids[:-1], ids[1:])
+
+        def enter(ranks: np.ndarray, places: np.ndarray) -> None:
+            order = np.argsort(ranks, kind="stable")
+            ranks, places = ranks[order], places[order]
+            first = int(np.searchsorted(ranks, 0))
+            ends = np.flatnonzero(ranks[first + 1:] != ranks[first:-1]) + first + 1
+            for a, b in zip([first, *ends.tolist()], [*ends.tolist(), ranks.size]):
+                if b > a:
+                    queue.put(int(ranks[a]), places[a:b])
+
+        enter(pair, np.arange(raw.size))
+        while queue.top:
+            rank, held = queue.take()
+            places = held[0] if len(held) == 1 else np.sort(np.concatenate(held))
+            places = places[pair[places] == rank]   # the others are stale
+            if not places.size:
+                continue
+            if places.size > 1:
+                later = owner[places[1:]] == owner[places[:-1]]
+                if later.any():
+                    queue.put(rank, places[1:][later])
+                    places = places[np.concatenate([[True], ~later])]
+            gone = after[places]
+            right, left = after[gone], before[places]
+            alive[gone] = False
+            pair[gone] = -1
+            ids[places] = rank
+            after[places] = right
+            before[right] = places
+            pair[places] = ahead = self._rank_of(ids[places], ids[right])
+            pair[left] = behind = self._rank_of(ids[left], ids[places])
+            enter(np.concatenate([ahead, behind]), np.concatenate([places, left]))
+        packed = ids[alive].astype("<u4").tobytes()
+        ends = np.cumsum(np.bincount(owner[alive], minlength=len(pieces)) * 4).tolist()
+        return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
     def join(self, piece: bytes) -> list[int]:
         """Ids of one pre-token that is not in the vocabulary."""
-        ranks, queue, n = self.ranks, self._queue, len(piece)
-        after = array("q", range(1, n + 1))
-        before = array("q", range(-1, n - 1))
-        pair = array("q", [-1]) * n   # rank at which the token here joins the next, -1: not at all
-
-        def enter(left: int, right: int) -> None:
-            rank = ranks.get(piece[left:after[right]], -1)
-            pair[left] = rank
-            if rank >= 0:
-                queue.push(rank, left)
-
+        rank_of, queue, n = self.ranks.get, self._queue, len(piece)
+        push, pop = queue.push, queue.pop
+        after, before, pair = array("q", range(1, n + 1)), array("q", range(-1, n - 1)), array("q", [-1]) * n
+        # pair: the rank at which the token here joins the next one, -1: not at all
         for i in range(n - 1):
-            enter(i, i + 1)
-        while (first := queue.pop()) is not None:
-            rank, i = first
+            rank = rank_of(piece[i:i + 2])
+            if rank is not None:
+                pair[i] = rank
+                push(rank, i)
+        while queue.top:
+            rank, i = pop()
             if pair[i] != rank:
                 continue
             gone = after[i]
@@ -145,29 +209,61 @@ class RankBpe:
             after[i] = right = after[gone]
             if right < n:
                 before[right] = i
-                enter(i, right)
-            if before[i] >= 0:
-                enter(before[i], i)
+                rank = rank_of(piece[i:after[right]])
+                if rank is not None:
+                    pair[i] = rank
+                    push(rank, i)
+            left = before[i]
+            if left >= 0:
+                rank = rank_of(piece[left:right])
+                if rank is None:
+                    pair[left] = -1
+                else:
+                    pair[left] = rank
+                    push(rank, left)
         ids, i = [], 0
         while i < n:
-            ids.append(ranks[piece[i:after[i]]])
+            ids.append(self.ranks[piece[i:after[i]]])
             i = after[i]
         return ids
 
-    def _pre_token(self, word: str) -> bytes:
-        piece = word.encode()
-        whole = self.ranks.get(piece)
-        return np.array([whole] if whole is not None else self.join(piece), "<u4").tobytes()
+    def _learn(self, words: set[str]) -> None:
+        """Put the ids of all ``words`` into the memory."""
+        known = self._words
+        if len(known) + len(words) > WORDS_KEPT:
+            known.clear()
+        short: list[str] = []
+        for word in words.difference(known):
+            piece = word.encode()
+            whole = self.ranks.get(piece)
+            if whole is not None:
+                known[word] = whole.to_bytes(4, "little")
+            elif len(piece) <= SHORT:
+                short.append(word)
+            else:
+                known[word] = np.array(self.join(piece), "<u4").tobytes()
+        while short:
+            some, short = short[:BATCH], short[BATCH:]
+            known.update(zip(some, self.join_all([word.encode() for word in some])))
 
     def parts(self, text: str) -> Iterator[bytes]:
-        """Packed ids of the text, a long one in several parts."""
-        if len(text) <= PART:
-            yield b"".join(map(self._words.__getitem__, self._pattern.findall(text)))
-            return
+        """Packed ids of the text, in parts of ``PIECES`` pre-tokens."""
         found = (match[0] for match in self._pattern.finditer(text))
         while pieces := list(islice(found, PIECES)):
+            self._learn(set(pieces))
             yield b"".join(map(self._words.__getitem__, pieces))
 
+    def encode_all(self, texts: list[str]) -> Iterator[Iterator[bytes]]:
+        """``parts`` of each text; texts of about ``BLOCK`` characters share one round of joining."""
+        for start, end in text_blocks(texts, BLOCK):
+            if end - start == 1 and len(texts[start]) > BLOCK:
+                yield self.parts(texts[start])
+                continue
+            pieces = [self._pattern.findall(text) for text in texts[start:end]]
+            self._learn(set().union(*pieces))
+            for found in pieces:
+                yield iter((b"".join(map(self._words.__getitem__, found)),))
+
     def encode(self, text: str) -> bytes:
         return b"".join(self.parts(text))
 
@@ -187,8 +283,8 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_i
         bpe = rank_bpe(path, pattern)
         for batch in batches:
             counts, ids, decoded = [], [], []
-            for raw in batch.column(1):
-                parts = bpe.parts(raw.as_py().decode("utf-8", "replace"))
+            texts = [raw.decode("utf-8", "replace") for raw in batch.column(1).to_pylist()]
+            for parts in bpe.encode_all(texts):
                 if digests:
                     n, taken, back = 0, hashlib.sha256(), hashlib.sha256()
                     for part in parts:

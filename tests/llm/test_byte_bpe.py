@@ -60,27 +60,30 @@ def test_any_vocabulary(piece, tokens, random):
     bpe.ranks = {t: i for i, t in enumerate(table)}
     bpe._queue = byte_bpe.RankQueue(len(table))
     assert bpe.join(piece) == plain_join(piece, bpe.ranks)
-    assert bpe._queue.pop() is None and not bpe._queue.buckets
+    bpe._pair_table()
+    pieces = [piece, piece[1:] or piece, piece * 2, piece[::-1], piece]
+    assert list(map(ids, bpe.join_all(pieces))) == [plain_join(p, bpe.ranks) for p in pieces]
+    assert not bpe._queue.top and not any(bpe._queue.words) and not bpe._queue.buckets
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.lists(st.one_of(st.none(), st.tuples(st.integers(0, 299_999), st.integers(0, 50))), max_size=200))
+@given(st.lists(st.one_of(st.none(), st.tuples(st.integers(0, 60_000), st.integers(0, 50))), max_size=200))
 def test_queue_gives_lowest_rank_then_leftmost_place(steps):
-    queue, kept = byte_bpe.RankQueue(300_000), []
+    queue, kept = byte_bpe.RankQueue(60_001), []
     for step in steps:
         if step:
             queue.push(*step)
             kept.append(step)
         else:
             want = min(kept, default=None)
+            assert bool(queue.top) == bool(kept)
             if want:
                 kept.remove(want)
-            assert queue.pop() == want
-    assert [queue.pop() for _ in range(len(kept) + 1)] == [*sorted(kept), None]
+                assert queue.pop() == want
+    assert [queue.pop() for _ in range(len(kept))] == sorted(kept) and not queue.top
 
 
-@pytest.mark.parametrize("part", [1 << 20, 100])
-def test_rows(spark, part, monkeypatch):
+def test_rows(spark, monkeypatch):
     rows = [(i, t) for i, t in enumerate([None, *ODD, "word " * 50_000])] + [(5, ODD[3]), (5, ODD[3]), (None, "no id"), (None, None)]
     frame = spark.createDataFrame([(i, t, "x", 1) for i, t in rows], "doc_id long, text string, ids string, n_tokens int")
     for digests in (True, False):
@@ -91,9 +94,10 @@ def test_rows(spark, part, monkeypatch):
             pair = (packed, (t or "").encode())
             want.append((i, len(packed) // 4, *(hashlib.sha256(p).hexdigest() if digests else p for p in pair)))
         assert got == sorted(want, key=repr)
-    monkeypatch.setattr(byte_bpe, "PART", part)
-    monkeypatch.setattr(byte_bpe, "PIECES", 7)
-    assert BPE.encode(" ".join(ODD)) == np.array(LIBRARY.encode_ordinary(" ".join(ODD)), "<u4").tobytes()
+    for name, value in (("PIECES", 7), ("BLOCK", 60), ("BATCH", 3), ("SHORT", 4), ("WORDS_KEPT", 5)):
+        monkeypatch.setattr(byte_bpe, name, value)
+        packed = [b"".join(parts) for parts in byte_bpe.RankBpe(PATH, public_tokenizers.PATTERN).encode_all(ODD)]
+        assert [ids(p) for p in packed] == [LIBRARY.encode_ordinary(t) for t in ODD]
     assert byte_bpe.encode_decode(frame.where("false"), PATH, public_tokenizers.PATTERN).count() == 0
 
 
