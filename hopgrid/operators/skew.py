@@ -26,8 +26,11 @@ def hot_keys(left: DataFrame, right: DataFrame | None, keys: list[str], policy:
     if fraction < 1.0:
         sides = sides.sample(fraction, seed=17)
     right_rows = F.sum("r") / fraction if right is not None else F.lit(1.0)
-    counts = sides.groupBy(*keys).agg((F.sum("l") / fraction).alias("l"), right_rows.alias("r"))
+    return grid_of(sides.groupBy(*keys).agg((F.sum("l") / fraction).alias("l"), right_rows.alias("r")), keys, policy)
 
+
+def grid_of(counts: DataFrame, keys: list[str], policy: SplitPolicy) -> DataFrame:
+    """The crowded ones of counted keys (``l`` and ``r`` rows) with the grid size per side."""
     def parts(rows: str) -> Column:
         return F.greatest(F.ceil(F.col(rows) / policy.block_rows), F.lit(1)).cast("int")
 
@@ -37,7 +40,7 @@ def hot_keys(left: DataFrame, right: DataFrame | None, keys: list[str], policy:
         *keys, parts("l").alias("left_parts"), parts("r").alias("right_parts"))
 
 
-def _materialised(hot: DataFrame, policy: SplitPolicy) -> DataFrame | None:
+def grid_table(hot: DataFrame, policy: SplitPolicy) -> DataFrame | None:
     """The grid table, fixed once so both sides see the same one; None without hot keys."""
     spark = hot.sparkSession
     rows = hot.orderBy(F.desc("left_parts")).limit(policy.broadcast_keys + 1).collect()
@@ -67,7 +70,7 @@ def split_sides(left: DataFrame, right: DataFrame, keys: list[str], policy: Spli
     """Both sides and the keys to join them on; unchanged when no key is hot."""
     if not policy.enabled:
         return left, right, keys
-    grid = _materialised(hot_keys(*sized_by, keys, policy), policy)
+    grid = grid_table(hot_keys(*sized_by, keys, policy), policy)
     if grid is None:
         return left, right, keys
     left_parts = F.coalesce("left_parts", F.lit(1))

@@ -12,7 +12,9 @@ from hopgrid.operators import match as m
 from hopgrid.plans import events as e
 from hopgrid.session import work_dir
 from hopgrid.sinks.tables import append_stream, append_table
-from hopgrid.streaming.match import MATCHERS, match_messages, match_stream
+from hopgrid.operators import sweep
+from hopgrid.streaming.burst import start_burst_match
+from hopgrid.streaming.match import MATCHERS, collapse_counts, collapsed_stream, match_messages, match_stream
 
 IDS = ["driver_event_id", "passenger_event_id"]
 CARRY = ["event_id"]
@@ -104,6 +106,55 @@ def stream_match_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_driver(_drained(spark, trips, (*IDS, "cost")))
 
 
+def _arriving(spark: SparkSession, frames: Sequence[DataFrame], closing: bool = False, files: int = 3) -> list[DataFrame]:
+    """Messages as streams of several files in time order, so that they come in several micro-batches.
+
+    ``closing`` adds a last file with the newest message again, a day later: it moves the
+    watermark past all windows but its own, which stays open.
+    """
+    streams = []
+    for frame in frames:
+        folder = work_dir(spark, "arriving")
+        frame.repartitionByRange(files, "ts").sortWithinPartitions("ts").write.parquet(f"{folder}/part=0")
+        if closing:
+            late = frame.agg(F.max_by(F.struct(*frame.columns), "ts").alias("m")).select("m.*")
+            late.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")).coalesce(1).write.parquet(f"{folder}/part=1")
+        streams.append(spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(folder).select(*frame.columns))
+    return streams
+
+
+def stream_match_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bursts that nobody announced: the stream finds and cuts the crowded bins by itself."""
+    folder = work_dir(spark, "burst")
+    # Bursts do not come in time order here, so windows stay open for long.
+    cfg = dataclasses.replace(CROWDED, lateness="366 days")
+    start_burst_match(*_arriving(spark, e.crowded_messages(spark, sf_dir)), folder, f"{folder}/checkpoint", cfg, CARRY,
+                      {"availableNow": True}).awaitTermination()
+    return _per_driver(spark.read.parquet(f"{folder}/trips"))
+
+
+def stream_messages_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The collapse while streaming: counts per window, then their join, then a table that adds up."""
+    folder = work_dir(spark, "collapsed")
+    # Files come one per micro-batch and side, and the sides differ in pace; nothing here is late.
+    cfg = dataclasses.replace(PRICED, lateness="1 hour")
+    counts = collapsed_stream(*_arriving(spark, e.messages(spark, sf_dir), closing=True), cfg)
+    append_stream(counts, f"{folder}/table", f"{folder}/checkpoint", trigger={"availableNow": True}).awaitTermination()
+    return collapse_counts(spark.read.parquet(f"{folder}/table"))
+
+
+def offer_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counts(sweep.offer_levels(*e.messages(spark, sf_dir))).withColumn("price", F.round("price", 6))
+
+
+def driver_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _counts(sweep.driver_demand(*e.messages(spark, sf_dir)))
+
+
+def money_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sweep.money_sweep(*e.messages(spark, sf_dir))
+
+
 def _counts(counts: DataFrame) -> DataFrame:
     return counts.withColumn("window_start", F.unix_seconds(m.SLOT)).drop(m.SLOT)
 
@@ -137,6 +188,11 @@ QUERIES = {
     "location_counts": location_counts,
     "trips_collapsed": trips_collapsed,
     "messages_collapsed": messages_collapsed,
+    "stream_match_burst": stream_match_burst,
+    "stream_messages_collapsed": stream_messages_collapsed,
+    "money_sweep": money_sweep,
+    "offer_levels": offer_levels,
+    "driver_demand": driver_demand,
 }
 
 _PRICED = f"""WITH {e.TRIPS_SQL}
@@ -202,4 +258,25 @@ SELECT driver_event_id, passenger_event_id, travelled_distance, travelled_distan
     "location_counts": _counts_sql(10, "lon", "lat", "at"),
     "trips_collapsed": _COLLAPSED + ", min(travelled_distance) AS min_distance FROM trips GROUP BY 1, 2, 3",
     "messages_collapsed": _COLLAPSED + " FROM trips GROUP BY 1, 2, 3",
+    "stream_messages_collapsed": _COLLAPSED + " FROM trips GROUP BY 1, 2, 3",
+    "stream_match_burst": _CROWDED,
+    "money_sweep": f"""WITH {e.TRIPS_SQL}
+SELECT count(*) AS trips, {e.money_sql("sum(company_margin)")} AS total_income,
+       {e.money_sql("sum(cost)")} AS total_volume_traded FROM trips""",
+    "offer_levels": f"""WITH {e.EVENT_SQL},
+sides AS (SELECT sec // 15 AS slot, bin_0, bin_1, offer * 0.75::double AS price, 1 AS a, 0 AS b FROM d
+          UNION ALL SELECT sec // 15, bin_0, bin_1, offer, 0, 1 FROM p),
+levels AS (SELECT slot, bin_0, bin_1, price, sum(a) AS a, sum(b) AS b FROM sides GROUP BY 1, 2, 3, 4)
+SELECT {e.EPOCH} + slot * 15 AS window_start, bin_0, bin_1, round(price, 6) AS price, cast(a AS bigint) AS drivers,
+       cast(b AS bigint) AS passengers, cast(sum(a) OVER (w ORDER BY price) AS bigint) AS drivers_up_to,
+       cast(sum(b) OVER (w ORDER BY price DESC) AS bigint) AS passengers_from
+FROM levels WINDOW w AS (PARTITION BY slot, bin_0, bin_1)""",
+    "driver_demand": f"""WITH {e.EVENT_SQL},
+wanted AS (
+  SELECT d.event_id, d.sec // 15 AS slot, d.bin_0, d.bin_1, count(p.event_id) AS n
+  FROM d LEFT JOIN p ON d.sec // 15 = p.sec // 15 AND d.bin_0 = p.bin_0 AND d.bin_1 = p.bin_1
+                    AND p.offer >= d.offer * 0.75::double GROUP BY 1, 2, 3, 4)
+SELECT {e.EPOCH} + slot * 15 AS window_start, bin_0, bin_1, count(*) AS drivers, cast(sum(n) AS bigint) AS trips,
+       count(*) FILTER (n = 0) AS without_match
+FROM wanted GROUP BY slot, bin_0, bin_1""",
 }
