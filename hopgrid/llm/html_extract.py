@@ -16,8 +16,10 @@ with words of the page, is put around and into the article. Further forms have
 the article without an element around it, or as plain text; from them trees of
 their own learn to judge text without an element.
 
-Null and empty pages, and pages without main text, give an empty text. Without
-a page to learn from, link density and attribute words decide alone.
+Null and empty pages, and pages without main text, give an empty text. The
+trees add to a plain rule (no region by tag or attribute word, nothing that is
+mostly links), which decides alone without a page to learn from, nearly alone
+with a few, and wherever the trees leave nothing of a page.
 """
 
 from __future__ import annotations
@@ -34,6 +36,7 @@ from hopgrid.llm.common import text_blocks
 
 SAMPLE, VARIANTS = 300, 3
 TREES, DEPTH, BINS, RATE, RIDGE = 40, 4, 32, 0.2, 5.0
+ENOUGH = 30          # pages from which on RIDGE alone holds the trees back
 
 # Kinds of tags, and attribute words that name page regions.
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
@@ -56,6 +59,8 @@ WORDS = {
 }
 GROUP = {w: g for g, ws in WORDS.items() for w in ws.split()}
 GROUPS = list(WORDS)
+GROUP_BIT = {g: 1 << i for i, g in enumerate(GROUPS)}
+TAG_BIT = {t: 1 << i for i, t in enumerate(TAGS)}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -72,6 +77,10 @@ class Page:
         self.blocks: list[tuple[int, str]] = []
         self.link_chars: list[int] = []
         stack, text, links = [0], [], 0
+        opened: dict[str, int] = {}   # tag -> how many are open; a look at the whole stack per tag would be quadratic
+
+        def pop():
+            opened[self.tag[stack.pop()]] -= 1
 
         def flush():
             nonlocal text, links
@@ -105,10 +114,10 @@ class Page:
             if m.group(1):
                 if tag not in INLINE:
                     flush()
-                if any(self.tag[k] == tag for k in stack[1:]):
+                if opened.get(tag):
                     while self.tag[stack[-1]] != tag:
-                        stack.pop()
-                    stack.pop()
+                        pop()
+                    pop()
                 continue
             if tag == "br" or tag == "hr":
                 text.append(" ")
@@ -123,14 +132,14 @@ class Page:
                 continue
             if tag not in INLINE:
                 flush()
-                if any(self.tag[k] == "p" for k in stack[1:]):
-                    while "p" in (self.tag[k] for k in stack[1:]) and self._closable(stack):
-                        stack.pop()
+                while opened.get("p") and self._closable(stack):
+                    pop()
                 closes = CLOSES.get(tag)
-                if closes:
+                if closes and any(map(opened.get, closes)):
                     for depth in range(len(stack) - 1, 0, -1):
                         if self.tag[stack[depth]] in closes:
-                            del stack[depth:]
+                            while len(stack) > depth:
+                                pop()
                             break
                         if self.tag[stack[depth]] in ("ul", "ol", "dl", "table"):
                             break
@@ -144,6 +153,7 @@ class Page:
             self.depth.append(len(stack))
             if not m.group(3).endswith("/"):
                 stack.append(len(self.tag) - 1)
+                opened[tag] = opened.get(tag, 0) + 1
         if at < len(source):
             text.append(html.unescape(source[at:]))
         flush()
@@ -153,9 +163,12 @@ class Page:
         return self.tag[stack[-1]] == "p" or self.tag[stack[-1]] in INLINE
 
     def features(self) -> np.ndarray:
-        n = len(self.tag)
-        chars, links, stops, count, tags, heads = (np.zeros(n) for _ in range(6))
-        first = np.full(n, 1.0)
+        n, parent = len(self.tag), self.parent
+        kinds = [KIND.get(t, t if t in TAG_BIT else "inline" if t in INLINE else "other") for t in self.tag]
+        # Sums over subtrees; plain lists, as single elements of arrays are slow.
+        chars, links, stops, count = ([0.0] * n for _ in range(4))
+        tags, heads = [1.0] * n, [float(k in ("p", "h")) for k in kinds]
+        first = [1.0] * n
         total = sum(len(t) for _, t in self.blocks) or 1
         seen = 0
         for (node, text), link in zip(self.blocks, self.link_chars):
@@ -165,71 +178,71 @@ class Page:
             count[node] += 1
             first[node] = min(first[node], seen / total)
             seen += len(text)
-        kinds = [KIND.get(t, t if t in TAGS else "inline" if t in INLINE else "other") for t in self.tag]
-        own_blocks = count.copy()
-        for i in range(n):
-            tags[i] += 1
-            heads[i] += kinds[i] in ("p", "h")
+        own_blocks = np.array(count)
         for i in range(n - 1, 0, -1):
-            p = self.parent[i]
+            p = parent[i]
             for a in (chars, links, stops, count, tags, heads):
                 a[p] += a[i]
             first[p] = min(first[p], first[i])
-        density = chars / tags
-        link_share = links / np.maximum(chars, 1)
         children: dict[int, list[int]] = {}
         for i in range(1, n):
-            children.setdefault(self.parent[i], []).append(i)
-        place, siblings, before, after = (np.zeros(n) for _ in range(4))
+            children.setdefault(parent[i], []).append(i)
+        density = [c / t for c, t in zip(chars, tags)]
+        place, siblings, before, after = ([0.0] * n for _ in range(4))
         for own in children.values():
             for k, i in enumerate(own):
                 place[i], siblings[i] = k / len(own), len(own)
                 before[i] = density[own[k - 1]] if k else -1
                 after[i] = density[own[k + 1]] if k + 1 < len(own) else -1
-        kind = np.array([TAGS.index(k) for k in kinds])
-        flags = np.array([[g in s for g in GROUPS] for s in self.groups], float).reshape(n, len(GROUPS))
-        above, tag_above = np.zeros((n, len(GROUPS))), np.zeros((n, len(TAGS)))
-        own_tag = np.eye(len(TAGS))[kind]
+        # Region words and tags, of the element and above it, as bits.
+        words, kind = [sum(GROUP_BIT[g] for g in s) for s in self.groups], [TAG_BIT[k] for k in kinds]
+        words_above, kind_above = [0] * n, [0] * n
         for i in range(1, n):
-            p = self.parent[i]
-            above[i] = np.maximum(above[p], flags[p])
-            tag_above[i] = np.maximum(tag_above[p], own_tag[p])
-        numbers = np.stack([np.log1p(chars), link_share, stops / np.maximum(chars, 1), np.log1p(count), np.log1p(tags), np.log1p(heads),
-                            np.log1p(density), chars / total, np.array(self.depth, float), place, siblings, np.log1p(before + 1),
-                            np.log1p(after + 1), first, own_blocks], 1)
-        return np.concatenate([numbers, flags, above, own_tag, tag_above], 1)
+            p = parent[i]
+            words_above[i] = words_above[p] | words[p]
+            kind_above[i] = kind_above[p] | kind[p]
+        bits = [(np.array(mask)[:, None] >> np.arange(width) & 1).astype(float) for mask, width in
+                ((words, len(GROUPS)), (words_above, len(GROUPS)), (kind, len(TAGS)), (kind_above, len(TAGS)))]
+        chars, links, stops, count, tags, heads, density, before, after = map(np.array, (
+            chars, links, stops, count, tags, heads, density, before, after))
+        numbers = np.stack([np.log1p(chars), links / np.maximum(chars, 1), stops / np.maximum(chars, 1), np.log1p(count), np.log1p(tags),
+                            np.log1p(heads), np.log1p(density), chars / total, np.array(self.depth, float), place, siblings,
+                            np.log1p(before + 1), np.log1p(after + 1), first, own_blocks], 1)
+        return np.concatenate([numbers, *bits], 1)
 
     def decode(self, p: np.ndarray) -> np.ndarray:
         """Most likely choice of nodes such that no kept node lies below a rejected one."""
         p = np.clip(p, 1e-4, 1 - 1e-4)
-        yes, no = np.log(p), np.log(1 - p)
-        keep, drop = yes.copy(), no.copy()
+        keep, drop = np.log(p).tolist(), np.log(1 - p).tolist()
         for i in range(len(p) - 1, 0, -1):
             drop[self.parent[i]] += drop[i]
             keep[self.parent[i]] += max(keep[i], drop[i])
-        out = np.zeros(len(p), bool)
-        out[0] = True
+        out = [True] * len(p)
         for i in range(1, len(p)):
-            out[i] = out[self.parent[i]] and keep[i] >= drop[i]
-        return out
+            out[i] = out[self.parent[i]] and keep[i] > drop[i]  # a tie drops
+        return np.array(out)
 
     def text(self, chosen: np.ndarray) -> str:
         return " ".join(t for node, t in self.blocks if chosen[node])
 
 
 class Trees:
-    """Gradient-boosted regression trees on binned features, logistic loss."""
+    """Gradient-boosted regression trees on binned features, logistic loss.
+
+    Boosting starts from the plain rule, and what a leaf may add is held back by
+    ``RIDGE``, the more so the fewer pages the rows come from: rows of one page
+    are no independent evidence. A handful of pages thus leaves the rule as it is.
+    """
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
+    def __init__(self, x: np.ndarray, y: np.ndarray, pages: int):
+        self.ridge = RIDGE * max(1.0, ENOUGH / pages)
         self.edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in x.T]
         bins = self._bins(x)
-        base = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-        self.base = float(np.log(base / (1 - base)))
         self.trees: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        margin = np.full(len(y), self.base)
+        margin = _plain_margin(x)
         for _ in range(TREES):
             p = 1 / (1 + np.exp(-margin))
-            feature, cut, value = self._grow(bins, y - p, p * (1 - p))
+            feature, cut, value = self._grow(bins, y - p, p * (1 - p), self.ridge)
             self.trees.append((feature, cut, value))
             margin += value[self._leaf(bins, feature, cut)]
 
@@ -244,7 +257,7 @@ class Trees:
         return node - (2 ** DEPTH - 1)
 
     @staticmethod
-    def _grow(bins, g, h):
+    def _grow(bins, g, h, ridge):
         inner = 2 ** DEPTH - 1
         feature, cut = np.zeros(inner, np.int64), np.full(inner, BINS, np.int64)
         node = np.zeros(len(bins), np.int64)
@@ -257,8 +270,8 @@ class Trees:
                 left = np.cumsum(sums, 2)
                 whole = left[:, :, -1:]
                 right = whole - left
-                gain = left[0] ** 2 / (left[1] + RIDGE) + right[0] ** 2 / (right[1] + RIDGE) - whole[0] ** 2 / (whole[1] + RIDGE)
-                gain[(left[1] < RIDGE) | (right[1] < RIDGE)] = 0
+                gain = left[0] ** 2 / (left[1] + ridge) + right[0] ** 2 / (right[1] + ridge) - whole[0] ** 2 / (whole[1] + ridge)
+                gain[(left[1] < ridge) | (right[1] < ridge)] = 0
                 at = gain.argmax(1)
                 top = gain[np.arange(width), at]
                 better = top > best
@@ -267,11 +280,11 @@ class Trees:
             node = 2 * node + 1 + (bins[np.arange(len(bins)), feature[node]] > cut[node])
         leaf = node - inner
         gs, hs = np.bincount(leaf, g, 2 ** DEPTH), np.bincount(leaf, h, 2 ** DEPTH)
-        return feature, cut, RATE * gs / (hs + RIDGE)
+        return feature, cut, RATE * gs / (hs + ridge)
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         bins = self._bins(x)
-        margin = np.full(len(x), self.base)
+        margin = _plain_margin(x)
         for feature, cut, value in self.trees:
             margin += value[self._leaf(bins, feature, cut)]
         return 1 / (1 + np.exp(-margin))
@@ -317,6 +330,24 @@ def _region(rng, kind: str, words: list[str], inner: str | None = None) -> str:
     return f"<{tag} class=\"{name}\">{inner}</{tag}>" if named else f"<{tag}>{inner}</{tag}>"
 
 
+PARAGRAPH = re.compile(r"<p\b[^>]*>(.*?)</p\s*>", re.S | re.I)
+
+
+def _other_block(rng, content: str) -> str:
+    """A paragraph as it is, or as another block that articles have."""
+    shape = rng.random()
+    if shape < 0.6:
+        return f"<p>{content}</p>"
+    if shape < 0.7:
+        return f"<blockquote>{content}</blockquote>"
+    parts = re.split(r"(?<=[.,])\s+", content)
+    if shape < 0.8:
+        return f"<h2>{parts[0][:60]}</h2><p>{content}</p>"
+    if shape < 0.9:
+        parts = [part[:30] for part in parts]
+    return "<ul>" + "".join(f"<li>{part}</li>" for part in parts) + "</ul>"
+
+
 ARTICLE = re.compile(r"<(article|main)\b([^>]*)>(.*)</\1\s*>", re.S | re.I)
 
 
@@ -342,6 +373,8 @@ def training_pages(source: str, seed: int) -> list[str]:
         if rng.random() < 0.5:  # an article of other length
             paragraphs = re.split(r"(?=<p\b)", inner)
             inner = "".join(p for p in paragraphs if rng.random() < 0.6) or inner
+        if rng.random() < 0.6:  # quotes, lists and headings in it
+            inner = PARAGRAPH.sub(lambda p: _other_block(rng, p[1]), inner)
         if rng.random() < 0.5:  # boilerplate within the article
             paragraphs = re.split(r"(?=<p\b)", inner)
             k = int(rng.integers(0, len(paragraphs) + 1))
@@ -428,32 +461,50 @@ def learn(pages: DataFrame, html_: str = "html") -> Model | None:
     # Hashes first: tasks must not send SAMPLE whole pages each.
     least = [r._h for r in hashed.select("_h").orderBy("_h").limit(SAMPLE).collect()]
     rows = sorted(hashed.where(F.col("_h") <= least[-1]).dropDuplicates(["_h"]).collect()) if least else []
-    elements, texts = [], []
-    for row in rows:
-        for source in training_pages(row._html, row._h % 2**32):
+    return learn_from(rows)
+
+
+def learn_from(rows: list[tuple[int, str]]) -> Model | None:
+    """Trees from pages with a number each, which decides on their rewritten forms."""
+    elements, texts, count = [], [], len({source for _, source in rows})
+    for seed, page in rows:
+        for source in training_pages(page, seed % 2**32):
             if (r := training_rows(source)) is not None:
                 loose = r[0][:, TEXT_FLAG] > 0
                 texts.append((r[0][loose], r[1][loose]))
                 if BEGIN not in source:
                     elements.append((r[0][~loose], r[1][~loose]))
-    trees = [Trees(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])) if sum(len(y) for _, y in found) else None
+    trees = [Trees(np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found]), count) if sum(len(y) for _, y in found) else None
              for found in (elements, texts)]
     return Model(*trees) if any(trees) else None
 
 
+# Columns of the features: 15 numbers, region words of the element and above it, its tag, tags above it.
+_REGIONS = [15 + GROUPS.index(g) + k * len(GROUPS) for g in REJECT for k in (0, 1)]
+_REGION_TAGS = [15 + 2 * len(GROUPS) + TAGS.index(t) + k * len(TAGS) for t in ("nav", "header", "footer", "aside", "form") for k in (0, 1)]
+
+
 def _plain_chance(x: np.ndarray) -> np.ndarray:
-    flags = x[:, 15:15 + 2 * len(GROUPS)].reshape(len(x), 2, len(GROUPS))[:, :, 1:].any((1, 2))
-    return np.where(flags | (x[:, 1] > 0.5), 0.1, 0.9)
+    """The rule without trees: nothing in a region by tag or attribute word, nothing that is mostly links."""
+    region = x[:, _REGIONS + _REGION_TAGS].any(1)
+    return np.where(region | (x[:, 1] > 0.5), 0.1, 0.9)
+
+
+def _plain_margin(x: np.ndarray) -> np.ndarray:
+    p = _plain_chance(x)
+    return np.log(p / (1 - p))
 
 
 def extract_texts(sources: list[str], model: Model | None) -> list[str]:
+    """Main texts; where the trees leave nothing of a page, the plain rule decides."""
     pages = [Page(s) for s in sources]
     x = np.concatenate([p.features() for p in pages])
-    chance = model.predict(x) if model else _plain_chance(x)
+    chance, plain = model.predict(x) if model else _plain_chance(x), _plain_chance(x)
     out, at = [], 0
     for page in pages:
         n = len(page.tag)
-        out.append(page.text(page.decode(chance[at:at + n])))
+        found = page.text(page.decode(chance[at:at + n]))
+        out.append(found or page.text(page.decode(plain[at:at + n])))
         at += n
     return out
 

@@ -75,7 +75,8 @@ def test_trees_learn():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(3000, 5))
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
-    assert ((hx.Trees(x, y).predict(x) > 0.5) == y).mean() > 0.97
+    x = np.concatenate([x, np.zeros((3000, 200))], 1)  # the columns of the plain rule
+    assert ((hx.Trees(x, y, 1000).predict(x) > 0.5) == y).mean() > 0.97
 
 
 def test_text_without_an_element(model):
@@ -96,3 +97,67 @@ def test_text_without_an_element(model):
 def test_closing_tags_after_letters_that_grow():
     page = hx.Page("<p>" + "İ" * 40 + "</p><script>x</SCRIPT><p>kept</p><p>last</p>")
     assert [t for _, t in page.blocks] == ["İ" * 40, "kept", "last"]
+
+
+MENU = "<nav><a href=a>Home</a></nav>"
+AROUND = (f"<html><body><header><h2>Site name</h2></header>{MENU}", "<form><label>Mail</label><input></form><footer>foot</footer></body></html>")
+BODY = "<p>First words of it, and more.</p><p>Second part of the text.</p>"
+TEXT = "First words of it, and more. Second part of the text."
+
+
+def with_article(k):
+    return f"{AROUND[0]}<article><p>Words of page {k}, some.</p><p>More of {k}.</p></article>{AROUND[1]}"
+
+
+@pytest.mark.parametrize("marked, others, copies", [(0, 20, 1), (1, 0, 1), (2, 0, 1), (5, 0, 1), (1, 20, 1), (1, 0, 5)])
+def test_small_tables(spark, marked, others, copies):
+    """Whatever there is to learn from: the text, and no menu, header, form or footer."""
+    plain = f"{AROUND[0]}<div>{BODY}</div>{AROUND[1]}"
+    rows = [(k, "u", with_article(k)) for k in range(marked) for _ in range(copies)] + [(1000 + k, "u", plain) for k in range(others)]
+    got = hx.main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert r.text == (TEXT if r.page_id >= 1000 else f"Words of page {r.page_id}, some. More of {r.page_id}."), r
+
+
+@pytest.mark.parametrize("count", [1, 3, 10])
+def test_few_training_pages(spark, count):
+    pages = [r.html for r in spark.read.parquet(PAGES).orderBy("page_id").collect()]
+    rng = np.random.default_rng(count)
+    for _ in range(5 if count == 1 else 1):
+        some = [pages[i] for i in rng.choice(np.arange(60, len(pages)), count, replace=False)]
+        model = hx.learn_from([(k, page) for k, page in enumerate(some)])
+        got = hx.extract_texts(pages[:60], model)
+        assert sum(not t for t in got) <= 2
+        assert sum(t == article(p) for t, p in zip(got, pages)) >= 55
+
+
+FOREIGN = [
+    ("<html><body><div id=top><ul class=menu><li><a href=/>Start</a></li><li><a href=/n>News</a></li></ul></div><div class=layout><div class='post-body'>"
+     "<h1>On rivers</h1><p>Rivers run to the sea, as is known.</p><blockquote>So it was said.</blockquote><ul><li>One, two.</li><li>Three.</li></ul></div>"
+     "<div class='sidebar'><h3>Recent</h3><p>Something else.</p></div></div><div class=footer>All rights.</div></body></html>",
+     "On rivers Rivers run to the sea, as is known. So it was said. One, two. Three."),
+    ("<!doctype html><body><header><a href=/>Brand</a></header><main><section><h2>Part A</h2><p>Text of A, rather long &amp; plain.</p></section>"
+     "<section><h2>Part B</h2><p>Text of B.</p></section><section class=comments><p>Nice one!</p></section></main><aside><p>Buy now.</p></aside></body>",
+     "Part A Text of A, rather long & plain. Part B Text of B."),
+    ("<table><tr><td class=navigation><a href=1>One</a><br><a href=2>Two</a></td><td><p>A page laid out in a table, as of old.</p><p>It has two paragraphs.</p></td></tr>"
+     "<tr><td colspan=2 class=copyright>1999</td></tr></table>", "A page laid out in a table, as of old. It has two paragraphs."),
+    ("<body><div class='cookie-banner'><p>We store things.</p><button>OK</button></div><div class=story><p>Short <em>story</em> here.</p>"
+     "<div class=advert><p>Ad text.</p></div><p>It ends.</p></div><form action=x><p>Subscribe to it</p></form></body>", "Short story here. It ends."),
+]
+
+
+@pytest.mark.parametrize("source, text", FOREIGN)
+def test_foreign_templates(model, source, text):
+    assert hx.extract_texts([source], model) == [text]
+    assert hx.extract_texts([source], None) == [text]
+
+
+def test_deep_pages_take_linear_time(model):
+    import time
+    taken = []
+    for n in (25_000, 100_000):
+        start = time.process_time()
+        assert hx.extract_texts(["<div>" * n + "x"], model) == ["x"]
+        taken.append(time.process_time() - start)
+    assert taken[1] < 8 * taken[0] + 1
