@@ -74,6 +74,40 @@ def numbered(rows: DataFrame, group: list[str], order: list[str], purpose: str)
     return joined.select(*rows.columns, "group_id", (F.col("_before") + F.col("_at") - F.col("_first")).alias("place"), "size")
 
 
+def identified(docs: DataFrame, doc_id: str, text: str, purpose: str) -> DataFrame:
+    """``docs`` with ``_doc``: a number that no other row has, in the order of the rows.
+
+    The order is by id, nulls last, then by a hash of the whole text, then as the
+    rows were read. Where every row has an id of its own the id is the number;
+    otherwise rows are numbered, which stores the table once more.
+    """
+    own = F.col(doc_id).cast("long")
+    if docs.groupBy(own.alias("_own")).agg(F.count("*").alias("_n")).where("_own is null or _n > 1").isEmpty():
+        return docs.withColumn("_doc", own)
+    keyed = docs.withColumns({"_null": own.isNull(), "_own": own, "_hash": F.xxhash64(text_or_empty(text))})
+    placed = numbered(stored(keyed, f"{purpose}-rows"), [], ["_null", "_own", "_hash"], f"{purpose}-order")
+    return placed.select(*docs.columns, F.col("place").alias("_doc"))
+
+
+def one_of_each(docs: DataFrame, keys: dict[str, Column], winners: DataFrame) -> DataFrame:
+    """Exactly one row of ``docs`` for each row of ``winners``: keys, ``_rows`` (rows of docs with these keys).
+
+    Rows with equal keys differ at most in further columns; the one with the
+    smallest hash over all of them stays. Only keys with several rows are aggregated.
+    """
+    winners = stored(winners, "winners")
+    same = [F.col(k).eqNullSafe(F.col(f"_won_{k}")) for k in keys]
+    won = winners.select(*[F.col(k).alias(f"_won_{k}") for k in keys], "_rows")
+    found = docs.withColumns(keys)
+    single = found.join(won.where("_rows = 1"), same, "left_semi").select(*docs.columns)
+    if winners.where("_rows > 1").isEmpty():
+        return single
+    hashed = F.xxhash64(*[F.col(f.name) for f in docs.schema.fields if "map<" not in f.dataType.simpleString()])
+    several = found.join(won.where("_rows > 1"), same, "left_semi").groupBy(*keys).agg(
+        F.min_by(F.struct(*docs.columns), hashed).alias("_row"))
+    return single.unionByName(several.select("_row.*"))
+
+
 def sorted_groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
     """Consecutive rows with equal keys (integers without null) of sorted batches, one table each."""
     held, last = [], None

@@ -11,22 +11,23 @@ Texts count as equal when they are identical after each run of white space
    directory doubles and every overfull bucket splits by one more bit, until
    all fit. The capacity grows with the number of entries, so the directory
    has a bounded number of slots (``MAX_DEPTH``).
-3. ``index``: each bucket is a range of keys that one owner task sorts; entries
+3. ``build_index``: each bucket is a range of keys that one owner task sorts; entries
    with the same key are chained (``chain``: place in the chain). The index is
    stored in the shared folder.
 4. ``exact_duplicates``: every row looks its text up by bucket, key and digest.
 
-Null texts count as empty; empty texts are equal to each other. Rows with a
-null id take part; a group of only null ids has a null ``keep_id`` and keeps
-nothing. Rows that repeat an id with an equal text are one document: they
-carry the same flags.
+Null texts count as empty; empty texts are equal to each other. Exactly one row
+of each group stays: the one with the smallest id, rows without an id last (a
+group of only such rows has a null ``keep_id``). Of rows that repeat the id and
+the text one stays as well: the first read, or in ``drop_exact_duplicates`` the
+one with the smallest hash over its columns.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from hopgrid.llm.common import stored, text_or_empty
+from hopgrid.llm.common import one_of_each, stored, text_or_empty
 
 MAX_DEPTH = 13       # the directory never has more than 2**13 slots
 BUCKETS_WANTED = 1024
@@ -79,21 +80,33 @@ def build_index(entries: DataFrame) -> DataFrame:
                   .select("bucket", "depth", "key", "chain", "digest", "keep_id", "group_size"), "hash-index")
 
 
+def _probes(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Stored: _id, _key, _digest and _row (unique) of every row."""
+    norm = docs.select(F.col(doc_id).cast("long").alias("_id"), normalised(text).alias("_norm"))
+    return stored(norm.select("_id", F.xxhash64("_norm").alias("_key"), F.unhex(F.sha2("_norm", 256)).alias("_digest"),
+                              F.monotonically_increasing_id().alias("_row")), "hash-probes")
+
+
 def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256."""
     index = build_index(hash_entries(docs, doc_id, text)).select(
         F.col("key").alias("_key"), F.col("digest").alias("_digest"), "keep_id", "group_size")
-    norm = docs.select(F.col(doc_id), normalised(text).alias("_norm"))
-    probes = norm.select(F.col(doc_id), F.xxhash64("_norm").alias("_key"), F.unhex(F.sha2("_norm", 256)).alias("_digest"))
-    found = probes.join(index, ["_key", "_digest"])
+    probes = _probes(docs, doc_id, text)
+    first = probes.groupBy("_key", "_digest").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_row")).getField("_row").alias("_first"))
+    found = probes.join(index.join(first, ["_key", "_digest"]), ["_key", "_digest"])
     return found.select(
-        F.col(doc_id), "keep_id", "group_size",
-        F.coalesce(F.col(doc_id).cast("long") == F.col("keep_id"), F.lit(False)).alias("kept"),
+        F.col("_id").alias("doc_id"), "keep_id", "group_size", (F.col("_row") == F.col("_first")).alias("kept"),
         F.lower(F.hex("_digest")).alias("text_sha256"))
 
 
 def drop_exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose document stays, with all their columns."""
-    stays = build_index(hash_entries(docs, doc_id, text)).where("keep_id is not null").select(
-        F.col("keep_id").alias("_keep"))
-    return docs.join(stays, F.col(doc_id).cast("long") == F.col("_keep"), "left_semi")
+    """One row of ``docs`` for each distinct text, with all its columns."""
+    index = build_index(hash_entries(docs, doc_id, text)).select(
+        F.col("key").alias("_key"), F.col("digest").alias("_digest"), F.col("keep_id").alias("_id"))
+    # How many rows have the text and the id that stays: mostly one.
+    rows = _probes(docs, doc_id, text).groupBy("_id", "_key", "_digest").agg(F.count("*").alias("_rows"))
+    winners = index.join(rows.withColumnsRenamed({"_id": "_own", "_key": "_k", "_digest": "_d"}),
+                         F.col("_id").eqNullSafe(F.col("_own")) & (F.col("_key") == F.col("_k")) & (F.col("_digest") == F.col("_d")))
+    norm = normalised(text)
+    keys = {"_id": F.col(doc_id).cast("long"), "_key": F.xxhash64(norm), "_digest": F.unhex(F.sha2(norm, 256))}
+    return one_of_each(docs, keys, winners.select(*keys, "_rows"))

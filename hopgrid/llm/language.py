@@ -160,12 +160,17 @@ def identify(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang:
 
 
 def drop_unidentified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that have a language: not ``und``, and nearer to its profile than the largest distance."""
+    """The rows of ``docs`` that have a language: not ``und``, and nearer to its profile than the largest distance.
+
+    Without any language to learn only texts without a letter go.
+    """
     model = Profiles(_profile_rows(docs, doc_id, text, lang))
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = model.predict(batch.column(batch.schema.get_field_index(text)).to_pylist())
-            yield batch.filter(pa.array([n != UNKNOWN and s > 0 for n, s in zip(names, scores)], pa.bool_()))
+            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
+            names, scores = model.predict(texts)
+            known_ = [n != UNKNOWN and s > 0 for n, s in zip(names, scores)] if model.langs else [bool(t and LETTER.search(t)) for t in texts]
+            yield batch.filter(pa.array(known_, pa.bool_()))
 
     return docs.mapInArrow(known, docs.schema)

@@ -1,14 +1,15 @@
 """Shards of nearly equal bytes by histogram sort.
 
-Documents are ordered by (hash of the text, id), so equal texts lie together.
+Documents are ordered by (hash of the text, hash of id and place in the input),
+so equal texts lie together and any number of them can be divided.
 Shard boundaries are found without sorting: every round counts the exact bytes
 below many probe keys over all partitions, and keeps for each boundary the two
 probes around its target, until one is within the tolerance or only one
 document lies in between. Then rows go to their shard in one exchange.
 
-A null text has no bytes and hashes as the empty text; a null id orders before
-all others. Repeated rows are separate rows, but have one key and so one shard.
-An empty table gives an empty result.
+A null text has no bytes and hashes as the empty text. Rows without an id and
+repeated rows are rows of their own with keys of their own. An empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -119,7 +120,9 @@ def shard_of(keys: list[int]) -> Column:
 
 
 def key_columns(doc_id: str, text: str) -> list[Column]:
-    return [F.xxhash64(text_or_empty(text)).alias("h"), F.coalesce(F.col(doc_id).cast("long"), F.lit(-2**63)).alias("_id")]
+    """Hash of the text, and a number that tells all rows apart, also those with equal ids and texts or without an id."""
+    row = F.xxhash64(F.col(doc_id).cast("long"), F.monotonically_increasing_id())
+    return [F.xxhash64(text_or_empty(text)).alias("h"), row.alias("_id")]
 
 
 def shards(docs: DataFrame, count: int = 40, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -147,5 +150,6 @@ def write_shards(docs: DataFrame, path: str, count: int = 40, doc_id: str = "doc
     keys = splitters(stored(docs.select(*key_columns(doc_id, text), (F.octet_length(text_or_empty(text)) + OVERHEAD)
                                         .cast("long").alias("size")), "shard-keys"), count)
     h, ids = key_columns(doc_id, text)
-    placed = docs.withColumn("shard", shard_of(keys)(h, ids))
+    placed = docs.withColumns({"_h": h, "_row": ids})
+    placed = placed.withColumn("shard", shard_of(keys)("_h", "_row")).drop("_h", "_row")
     placed.repartition(count * files, "shard", F.pmod(F.xxhash64(doc_id), F.lit(files))).write.partitionBy("shard").parquet(path)

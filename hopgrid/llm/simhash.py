@@ -16,7 +16,8 @@ stays linear; groups are then joined by ``components``.
 Null texts count as empty; texts without words have fingerprint zero and are
 linked like any other. Rows with a null id take part in groups but never name
 one; a group of only such rows has a null ``component_id``. Repeated rows get
-equal results. An empty table gives an empty result.
+equal results; ``drop_near_duplicates`` keeps exactly one row of each group. An
+empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from hopgrid.llm.common import components, roots_of, stored, text_or_empty
+from hopgrid.llm.common import components, one_of_each, roots_of, stored, text_or_empty
 
 RADIUS = 4
 SHINGLE = 4
@@ -58,15 +59,15 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id (long), fp (long: the 64 bits)."""
+def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id (long), fp (long: the 64 bits), and the ``carry`` columns (long)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64)), *batch.columns[2:]], ["doc_id", "fp", *carry])
 
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_or_empty(text).alias("text"), *carry)
+    return rows.mapInArrow(run, ", ".join(f"{name} long" for name in ["doc_id", "fp", *carry]))
 
 
 def _bits(fps: np.ndarray) -> np.ndarray:
@@ -300,7 +301,7 @@ def _bucket_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def near_groups(prints: DataFrame) -> DataFrame:
-    """fp, component_id for every distinct fingerprint of ``prints`` (doc_id, fp)."""
+    """fp, component_id (smallest id) and component (its name) for every distinct fingerprint of ``prints`` (doc_id, fp)."""
     distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("rep")), "fingerprints")
     plan = Plan(distinct)
     found = (distinct.select("fp").mapInArrow(plan.probes, "part int, value long, salt long, fp long, kind int")
@@ -310,7 +311,7 @@ def near_groups(prints: DataFrame) -> DataFrame:
     placed = distinct.join(member, distinct.fp == member.node, "left").select(
         "fp", "rep", F.coalesce("component", "fp").alias("component"))
     names = placed.groupBy("component").agg(F.min("rep").alias("component_id"))
-    return stored(placed.join(names, "component").select("fp", "component_id"), "near-groups")
+    return stored(placed.join(names, "component").select("fp", "component_id", "component"), "near-groups")
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -321,6 +322,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The document with the smallest id of each group, with all columns of ``docs``."""
-    stays = near_duplicates(docs, doc_id, text).where("doc_id = component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(stays, F.col(doc_id).cast("long") == F.col("_keep"), "left_semi")
+    """One row of ``docs`` for each group, with all its columns: smallest id, rows without an id last, then smallest hash of the text."""
+    hashed = docs.withColumns({"_hash": F.xxhash64(text_or_empty(text)), "_own": F.col(doc_id).cast("long")})
+    prints = stored(fingerprints(hashed, doc_id, text, ("_hash",)), "document-fingerprints")
+    rows = prints.groupBy("doc_id", "_hash", "fp").agg(F.count("*").alias("_rows"))
+    groups = near_groups(prints).select("fp", "component")
+    first = rows.join(groups, "fp").groupBy("component").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("_own"), "_hash", "_rows")).alias("w"))
+    keys = {"_own": F.col(doc_id).cast("long"), "_hash": F.xxhash64(text_or_empty(text))}
+    return one_of_each(docs, keys, first.select("w._own", "w._hash", "w._rows"))
