@@ -96,3 +96,22 @@ def latest_positions(positions: DataFrame, key: str | None = "id", order: tuple[
     return positions.groupBy(*keys).agg(
         F.max_by("lon", newest).alias("lon"), F.max_by("lat", newest).alias("lat"),
         F.max(order[0]).alias(order[0]))
+
+
+def live_positions(positions: DataFrame, live: str, lateness: str = "0 seconds", key: str = "id") -> DataFrame:
+    """Newest position per key and stretch of ``live``: as a stream, silent keys leave the state.
+
+    The state of a key lies in the stretch of its last message and goes when the
+    watermark passes the stretch; ``current_positions`` picks the newest stretch
+    of each key from what the stream wrote.
+    """
+    timed = positions.withWatermark("ts", lateness) if positions.isStreaming else positions
+    newest = timed.groupBy(F.window("ts", live), key).agg(
+        F.max_by("lon", "ts").alias("lon"), F.max_by("lat", "ts").alias("lat"), F.max("ts").alias("ts"))
+    return newest.select(F.col("window")["start"].alias("since"), key, "lon", "lat", "ts")
+
+
+def current_positions(written: DataFrame, key: str = "id", after: Column | None = None) -> DataFrame:
+    """The newest row per key of a table of ``live_positions``; with ``after`` only of keys heard since then."""
+    rows = written if after is None else written.where(F.col("ts") >= after)
+    return latest_positions(rows, key)

@@ -9,8 +9,12 @@ from hopgrid.operators import kpis
 from hopgrid.operators.records import driver_rows, passenger_rows
 from hopgrid.plans import events as e
 from hopgrid.session import work_dir
-from hopgrid.sinks.tables import append_table
+from hopgrid.operators.match import match_priced
+from hopgrid.sinks.tables import append_once, append_table
+from hopgrid.operators import sketches
+from hopgrid.plans.matching import arriving
 from hopgrid.sources.documents import open_tables
+from hopgrid.streaming.figures import current_figures, start_figures, window_figures
 
 
 def _drivers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -110,7 +114,74 @@ def figures_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql(_FIGURES_QUERY, drivers=tables["drivers"], trips=tables["trips"])
 
 
+def _timed(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Driver messages, and trips with the time of the driver's message."""
+    drivers, passengers = e.messages(spark, sf_dir)
+    return drivers.select("plate_id", "ts"), match_priced(drivers, passengers, carry=["ts"]).select(
+        "driver_id", "cost", "company_margin", "travelled_distance", F.col("driver_ts").alias("ts"))
+
+
+def _followed(spark: SparkSession, sf_dir: str) -> str:
+    folder = work_dir(spark, "figures")
+    start_figures(*arriving(spark, _timed(spark, sf_dir)), f"{folder}/kept", f"{folder}/checkpoint", "10 minutes",
+                  {"availableNow": True}).awaitTermination()
+    return f"{folder}/kept"
+
+
+def stream_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All figures from a stream in several micro-batches."""
+    return current_figures(spark, _followed(spark, sf_dir)).drop("enrolled_estimate", "matched_estimate").withColumn(
+        "avg_margin", F.round("avg_margin", 6))
+
+
+def stream_window_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state behind them: one row per window."""
+    return window_figures(spark, _followed(spark, sf_dir)).select(
+        F.unix_seconds("window_start").alias("window_start"), "trips", pricing.round_money(F.col("volume")).alias("volume"),
+        pricing.round_money(F.col("income")).alias("income"), "margins")
+
+
+def figures_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact and sketched distinct counts side by side, by day and over all days; sketches are stored and read back."""
+    drivers, trips = _timed(spark, sf_dir)
+    path = work_dir(spark, "sketches")
+    sketches.daily_sketches(drivers, trips).write.parquet(path)
+    stored = spark.read.parquet(path)
+
+    def rows(exact: DataFrame, sketched: DataFrame) -> DataFrame:
+        names = ["enrolled", "matched", "both"]
+        both = exact.withColumn("day", F.coalesce("day", F.lit("all"))).join(
+            sketched.withColumn("day", F.coalesce("day", F.lit("all"))).withColumnsRenamed({n: f"{n}_s" for n in names}), "day")
+        wide = [F.struct(F.lit(n).alias("figure"), F.col(n).alias("exact"),
+                         (F.abs(F.col(f"{n}_s") - F.col(n)) <= sketches.ERROR * F.greatest("enrolled", "matched")).alias("within_bound"))
+                for n in names]
+        return both.select("day", F.inline(F.array(*wide)))
+
+    day = F.col("day").cast("string")
+    none = F.lit(None).cast("string")
+    exact = sketches.exact_figures(drivers, trips, daily=True).withColumn("day", day).unionByName(
+        sketches.exact_figures(drivers, trips).withColumn("day", none))
+    sketched = sketches.sketched_figures(stored, "day").withColumn("day", day).unionByName(
+        sketches.sketched_figures(stored).withColumn("day", none))
+    return rows(exact, sketched)
+
+
+def trips_appended_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two jobs append, and the first one is run again."""
+    path = work_dir(spark, "trips-once")
+    trips = e.trips_table(spark, sf_dir)
+    low = F.col("accepted_offer") <= 2.0
+    columns = ("trip_id", "driver_id", "passenger_id", "cost")
+    for job, part in (("low", trips.where(low)), ("high", trips.where(~low)), ("low", trips.where(low))):
+        append_once(part, path, job, columns)
+    return spark.read.parquet(path)
+
+
 QUERIES = {
+    "stream_figures": stream_figures,
+    "stream_window_figures": stream_window_figures,
+    "figures_sketched": figures_sketched,
+    "trips_appended_once": trips_appended_once,
     "enrolled_drivers": enrolled_drivers,
     "traded_volume": _on_trips(kpis.traded_volume),
     "margins": _on_trips(kpis.margins),
@@ -164,6 +235,25 @@ UNION ALL SELECT 'drivers with match', matched FROM f""",
     "matched_drivers_from_messages": _MATCHED,
     "figures_in_sql": _IN_SQL,
     "figures_from_tables": _IN_SQL,
+    "trips_appended_once": _T + """SELECT trip_id, driver_id, passenger_id, cost,
+       CASE WHEN accepted_offer <= 2.0 THEN 'low' ELSE 'high' END AS job FROM trips""",
+    "stream_figures": _FIGURES + f"""SELECT enrolled, matched, (SELECT count(*) FROM trips) AS trips,
+       (SELECT {_VOLUME} FROM trips) AS total_volume_traded, (SELECT {_INCOME} FROM trips) AS total_income,
+       (SELECT round(avg(company_margin), 6) FROM trips) AS avg_margin, {_RATIO} AS match_ratio FROM f""",
+    "stream_window_figures": _T + f""", w AS (SELECT DISTINCT sec // 600 AS slot FROM d),
+t AS (SELECT d.sec // 600 AS slot, trips.* FROM trips JOIN d ON d.event_id = trips.driver_event_id)
+SELECT {e.EPOCH} + w.slot * 600 AS window_start, count(t.slot) AS trips, {_VOLUME} AS volume, {_INCOME} AS income,
+       count(company_margin) AS margins FROM w LEFT JOIN t USING (slot) GROUP BY w.slot""",
+    "figures_sketched": _T + f""", seen AS (
+  SELECT strftime(to_timestamp({e.EPOCH} + sec) AT TIME ZONE 'UTC', '%Y-%m-%d') AS day, plate_id AS id FROM d),
+moved AS (
+  SELECT strftime(to_timestamp({e.EPOCH} + d.sec) AT TIME ZONE 'UTC', '%Y-%m-%d') AS day, driver_id AS id
+  FROM trips JOIN d ON d.event_id = trips.driver_event_id WHERE travelled_distance <> 0.0),
+s2 AS (SELECT DISTINCT * FROM (SELECT * FROM seen UNION ALL SELECT 'all', id FROM seen)),
+m2 AS (SELECT DISTINCT * FROM (SELECT * FROM moved UNION ALL SELECT 'all', id FROM moved))
+SELECT day, 'enrolled' AS figure, count(*) AS exact, true AS within_bound FROM s2 GROUP BY day
+UNION ALL SELECT day, 'matched', count(m2.id), true FROM (SELECT DISTINCT day FROM s2) LEFT JOIN m2 USING (day) GROUP BY day
+UNION ALL SELECT day, 'both', count(m2.id), true FROM s2 LEFT JOIN m2 USING (day, id) GROUP BY day""",
     "trip_points": f"""WITH {e.EVENT_SQL}
 SELECT d.event_id::varchar || '-' || p.event_id::varchar AS trip_id, d.plate_id AS driver_id,
        d.lat AS pickup_lat, abs(d.lon) * sign(d.lon) AS pickup_lon, p.drop_1 AS dropoff_lat, p.drop_0 AS dropoff_lon,

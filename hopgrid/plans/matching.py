@@ -106,7 +106,7 @@ def stream_match_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_driver(_drained(spark, trips, (*IDS, "cost")))
 
 
-def _arriving(spark: SparkSession, frames: Sequence[DataFrame], closing: bool = False, files: int = 3) -> list[DataFrame]:
+def arriving(spark: SparkSession, frames: Sequence[DataFrame], closing: bool = False, files: int = 3) -> list[DataFrame]:
     """Messages as streams of several files in time order, so that they come in several micro-batches.
 
     ``closing`` adds a last file with the newest message again, a day later: it moves the
@@ -128,7 +128,7 @@ def stream_match_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "burst")
     # Bursts do not come in time order here, so windows stay open for long.
     cfg = dataclasses.replace(CROWDED, lateness="366 days")
-    start_burst_match(*_arriving(spark, e.crowded_messages(spark, sf_dir)), folder, f"{folder}/checkpoint", cfg, CARRY,
+    start_burst_match(*arriving(spark, e.crowded_messages(spark, sf_dir)), folder, f"{folder}/checkpoint", cfg, CARRY,
                       {"availableNow": True}).awaitTermination()
     return _per_driver(spark.read.parquet(f"{folder}/trips"))
 
@@ -138,7 +138,7 @@ def stream_messages_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = work_dir(spark, "collapsed")
     # Files come one per micro-batch and side, and the sides differ in pace; nothing here is late.
     cfg = dataclasses.replace(PRICED, lateness="1 hour")
-    counts = collapsed_stream(*_arriving(spark, e.messages(spark, sf_dir), closing=True), cfg)
+    counts = collapsed_stream(*arriving(spark, e.messages(spark, sf_dir), closing=True), cfg)
     append_stream(counts, f"{folder}/table", f"{folder}/checkpoint", trigger={"availableNow": True}).awaitTermination()
     return collapse_counts(spark.read.parquet(f"{folder}/table"))
 

@@ -20,6 +20,20 @@ def append_table(rows: DataFrame, path: str, columns: tuple[str, ...] | None = N
     writer.parquet(path)
 
 
+def append_once(rows: DataFrame, path: str, job: str, columns: tuple[str, ...] | None = None) -> None:
+    """Append under the name of a job: run again, it replaces its own rows and adds none.
+
+    Each job has a folder of its own in the table, which Spark's committer fills
+    in one step after all tasks are done; readers get the name as column ``job``.
+    """
+    if not job or any(c in job for c in "/\\=%:"):
+        raise ValueError(f"not a name for a job: {job!r}")
+    writer = _projected(rows, columns, ()).write.mode("overwrite")
+    if "trip_id" in rows.columns:
+        writer = writer.options(**BLOOM)
+    writer.parquet(f"{path.rstrip('/')}/job={job}")
+
+
 def append_stream(rows: DataFrame, path: str, checkpoint: str, columns: tuple[str, ...] | None = None,
                   partition_by: tuple[str, ...] = (), trigger: dict | None = None,
                   name: str | None = None) -> StreamingQuery:
