@@ -112,6 +112,11 @@ def driver_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.to_json_messages(drivers.select("plate_id", "seats", "ride_offer", "location"), F.col("plate_id"))
 
 
+def passenger_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    passengers = e.messages(spark, sf_dir)[1]
+    return records.to_json_messages(passengers.select("passenger_id", "ride_offer", "location", "dropoff_location"), F.col("passenger_id"))
+
+
 def keyed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.keyed_points(e.read_events(spark, sf_dir).select(e.lon().alias("lon"), e.lat().alias("lat")))
 
@@ -214,6 +219,7 @@ QUERIES = {
     "passenger_rows": passenger_rows,
     "passenger_rows_once": passenger_rows_once,
     "driver_texts": driver_texts,
+    "passenger_texts": passenger_texts,
     "keyed_points": keyed_points,
     "points_parsed": points_parsed,
     "driver_documents": driver_documents,
@@ -279,6 +285,9 @@ SELECT passenger_id, longitude, latitude, ride_offer FROM (
     "driver_texts": _W + """SELECT plate_id AS key, '{"plate_id":"' || plate_id || '","seats":' || seats::varchar ||
        ',"ride_offer":' || offer::varchar || ',"location":[' || lon::varchar || ',' || lat::varchar || ']}' AS value
 FROM d""",
+    "passenger_texts": _W + """SELECT passenger_id AS key, '{"passenger_id":"' || passenger_id || '","ride_offer":' || offer::varchar ||
+       ',"location":[' || lon::varchar || ',' || lat::varchar || '],"dropoff_location":[' || drop_0::varchar || ',' || drop_1::varchar || ']}' AS value
+FROM p""",
     "keyed_points": _W + """SELECT '0' AS key, '{"lon":' || lon::varchar || ',"lat":' || lat::varchar || '}' AS value
 FROM ev""",
     "points_parsed": _W + "SELECT lon, lat FROM ev",

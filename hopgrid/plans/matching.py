@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from hopgrid import app
 from hopgrid.config import EXACT, PRICED, SplitPolicy
 from hopgrid.operators import match as m
 from hopgrid.plans import events as e
@@ -106,19 +107,25 @@ def stream_match_crowded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _per_driver(_drained(spark, trips, (*IDS, "cost")))
 
 
-def arriving(spark: SparkSession, frames: Sequence[DataFrame], closing: bool = False, files: int = 3) -> list[DataFrame]:
+def arriving(spark: SparkSession, frames: Sequence[DataFrame], closing: bool = False, files: int = 3,
+             late: Sequence[DataFrame] = ()) -> list[DataFrame]:
     """Messages as streams of several files in time order, so that they come in several micro-batches.
 
     ``closing`` adds a last file with the newest message again, a day later: it moves the
-    watermark past all windows but its own, which stays open.
+    watermark past all windows but its own, which stays open. ``late`` messages come after it.
     """
     streams = []
-    for frame in frames:
+    for n, frame in enumerate(frames):
         folder = work_dir(spark, "arriving")
         frame.repartitionByRange(files, "ts").sortWithinPartitions("ts").write.parquet(f"{folder}/part=0")
         if closing:
-            late = frame.agg(F.max_by(F.struct(*frame.columns), "ts").alias("m")).select("m.*")
-            late.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")).coalesce(1).write.parquet(f"{folder}/part=1")
+            last = frame.agg(F.max_by(F.struct(*frame.columns), "ts").alias("m")).select("m.*")
+            if "location" in frame.columns:  # the closing messages of two sides do not meet
+                last = last.withColumn("location", F.array(F.lit(float(n)), F.lit(float(n))))
+            last.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY")).coalesce(1).write.parquet(f"{folder}/part=1")
+        if late:  # a batch judges lateness by the watermark of the batch before: one more closing message
+            last.withColumn("ts", F.col("ts") + F.expr("INTERVAL 2 DAYS")).coalesce(1).write.parquet(f"{folder}/part=2")
+            late[n].coalesce(1).write.parquet(f"{folder}/part=3")
         streams.append(spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(folder).select(*frame.columns))
     return streams
 
@@ -143,6 +150,28 @@ def stream_messages_collapsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapse_counts(spark.read.parquet(f"{folder}/table"))
 
 
+def stream_late_discarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message comes once more, with another id, after the watermark has passed its window: none of those finds a partner."""
+    sides = e.messages(spark, sf_dir)
+    late = [side.withColumn("event_id", -1 - F.col("event_id")) for side in sides]
+    trips = match_stream(*arriving(spark, sides, closing=True, files=1, late=late), PRICED, "priced", CARRY)
+    return _shown(_drained(spark, trips, (*m.TRIP_COLUMNS, *IDS)), "priced")
+
+
+def job_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole job with options of its own: recorded message texts in, trips table out."""
+    folder = work_dir(spark, "job")
+    e.raw_messages(e.read_events(spark, sf_dir)).select("value", "ts").write.parquet(f"{folder}/recorded")
+    options = app.parse_arguments([
+        "--replay", f"{folder}/recorded", "--trips", f"{folder}/trips", "--checkpoint", f"{folder}/progress", "--matcher", "unpriced",
+        "--window-seconds", "5", "--bin-size", "0.0002", "--lateness", "1 minute", "--stream-parts", "2", "--trip-ids", "stable", "--once"])
+    for query in app.start(spark, options):
+        query.awaitTermination()
+    return spark.read.parquet(f"{folder}/trips").groupBy("bin_key").agg(
+        F.count(F.lit(1)).alias("trips"), F.count_distinct("trip_id").alias("ids"), F.count_distinct("driver_id").alias("drivers"),
+        F.count_distinct("passenger_id").alias("passengers"))
+
+
 def offer_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _counts(sweep.offer_levels(*e.messages(spark, sf_dir))).withColumn("price", F.round("price", 6))
 
@@ -190,6 +219,8 @@ QUERIES = {
     "messages_collapsed": messages_collapsed,
     "stream_match_burst": stream_match_burst,
     "stream_messages_collapsed": stream_messages_collapsed,
+    "stream_late_discarded": stream_late_discarded,
+    "job_match": job_match,
     "money_sweep": money_sweep,
     "offer_levels": offer_levels,
     "driver_demand": driver_demand,
@@ -260,6 +291,15 @@ SELECT driver_event_id, passenger_event_id, travelled_distance, travelled_distan
     "messages_collapsed": _COLLAPSED + " FROM trips GROUP BY 1, 2, 3",
     "stream_messages_collapsed": _COLLAPSED + " FROM trips GROUP BY 1, 2, 3",
     "stream_match_burst": _CROWDED,
+    "stream_late_discarded": _PRICED,
+    "job_match": f"""WITH {e.EVENT_SQL},
+d2 AS (SELECT *, trunc(lon / 0.0002::double)::bigint AS x, trunc(lat / 0.0002::double)::bigint AS y FROM d),
+p2 AS (SELECT *, trunc(lon / 0.0002::double)::bigint AS x, trunc(lat / 0.0002::double)::bigint AS y FROM p),
+t AS (SELECT d.x::varchar || '_' || d.y::varchar AS bin_key, d.plate_id, p.passenger_id,
+             concat_ws('|', d.sec // 5, d.plate_id, d.offer, p.passenger_id, p.offer, p.drop_0, p.drop_1, d.lon, d.lat, p.lon, p.lat) AS pair
+      FROM d2 d JOIN p2 p ON d.sec // 5 = p.sec // 5 AND d.x = p.x AND d.y = p.y)
+SELECT bin_key, count(*) AS trips, count(DISTINCT pair) AS ids, count(DISTINCT plate_id) AS drivers,
+       count(DISTINCT passenger_id) AS passengers FROM t GROUP BY bin_key""",
     "money_sweep": f"""WITH {e.TRIPS_SQL}
 SELECT count(*) AS trips, {e.money_sql("sum(company_margin)")} AS total_income,
        {e.money_sql("sum(cost)")} AS total_volume_traded FROM trips""",

@@ -54,3 +54,11 @@ def remove_dir(spark: SparkSession, path: str) -> None:
     """Remove a working folder, wherever it lies."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def rename_files(spark: SparkSession, folder: str, pattern: str, into: str, suffix: str) -> None:
+    """Give files a name that Spark's writers cannot give: a number and ``suffix``, in the folder ``into``."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for n, status in enumerate(store.globStatus(path(folder, pattern))):
+        store.rename(status.getPath(), path(into, f"{n}{suffix}"))
