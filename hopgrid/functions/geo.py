@@ -85,3 +85,22 @@ def wkt_numbers(text: Column) -> Column:
 def wkt_pair(text: Column) -> tuple[Column, Column]:
     numbers = wkt_numbers(text)
     return F.get(numbers, F.lit(0)), F.get(numbers, F.lit(1))
+
+
+def curve_key(bin_0: Column, bin_1: Column) -> Column:
+    """Bits of two bins by turns (Z-order): bins that are near in both axes are mostly near in the key.
+
+    Bins beyond 2 ** 30 in size fold over; the key then orders them less well, nothing else.
+    """
+    def widened(step: int, mask: int):
+        return lambda v: v.bitwiseOR(F.shiftleft(v, step)).bitwiseAND(F.lit(mask))
+
+    def spread(x: Column) -> Column:
+        x = (x + F.lit(1 << 30)).bitwiseAND(F.lit((1 << 31) - 1))
+        for step, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                           (2, 0x3333333333333333), (1, 0x5555555555555555)):
+            # A lambda evaluates its argument once; written out, each step would double the expression.
+            x = F.get(F.transform(F.array(x), widened(step, mask)), F.lit(0))
+        return x
+
+    return spread(bin_0.cast("bigint")).bitwiseOR(F.shiftleft(spread(bin_1.cast("bigint")), 1))

@@ -10,7 +10,7 @@ from hopgrid.operators.records import driver_rows, passenger_rows
 from hopgrid.plans import events as e
 from hopgrid.session import work_dir
 from hopgrid.operators.match import match_priced
-from hopgrid.sinks.tables import append_once, append_table
+from hopgrid.sinks.tables import append_along_curve, append_once, append_table, trips_in_box
 from hopgrid.operators import sketches
 from hopgrid.plans.matching import arriving
 from hopgrid.sources.documents import open_tables
@@ -177,7 +177,17 @@ def trips_appended_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def trips_boxed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of a box of bins, from a table laid out along a space-filling curve."""
+    path = work_dir(spark, "trips-curve")
+    bins = F.split("bin_key", "_")
+    trips = e.trips_table(spark, sf_dir).withColumns({"bin_0": F.get(bins, F.lit(0)).cast("bigint"), "bin_1": F.get(bins, F.lit(1)).cast("bigint")})
+    append_along_curve(trips, path, columns=("trip_id", "driver_id", "cost", "bin_0", "bin_1"))
+    return trips_in_box(spark.read.parquet(path), (-1482, 157880), (-1481, 157881))
+
+
 QUERIES = {
+    "trips_boxed": trips_boxed,
     "stream_figures": stream_figures,
     "stream_window_figures": stream_window_figures,
     "figures_sketched": figures_sketched,
@@ -235,6 +245,10 @@ UNION ALL SELECT 'drivers with match', matched FROM f""",
     "matched_drivers_from_messages": _MATCHED,
     "figures_in_sql": _IN_SQL,
     "figures_from_tables": _IN_SQL,
+    "trips_boxed": f"""WITH {e.EVENT_SQL}
+SELECT d.event_id::varchar || '-' || p.event_id::varchar AS trip_id, d.plate_id AS driver_id, {e.COST_SQL} AS cost, d.bin_0, d.bin_1
+{e.PAIR_SQL} AND p.offer >= d.offer * 0.75::double
+WHERE d.bin_0 BETWEEN -1482 AND -1481 AND d.bin_1 BETWEEN 157880 AND 157881""",
     "trips_appended_once": _T + """SELECT trip_id, driver_id, passenger_id, cost,
        CASE WHEN accepted_offer <= 2.0 THEN 'low' ELSE 'high' END AS job FROM trips""",
     "stream_figures": _FIGURES + f"""SELECT enrolled, matched, (SELECT count(*) FROM trips) AS trips,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from hopgrid.functions import geo
+
 # Lets a lookup by trip id skip row groups; ids are random, so min/max would not.
 BLOOM = {"parquet.bloom.filter.enabled#trip_id": "true"}
 
@@ -34,6 +36,28 @@ def append_once(rows: DataFrame, path: str, job: str, columns: tuple[str, ...] |
     writer.parquet(f"{path.rstrip('/')}/job={job}")
 
 
+def append_along_curve(rows: DataFrame, path: str, bins: tuple[str, str] = ("bin_0", "bin_1"), columns: tuple[str, ...] | None = None,
+                       row_group_bytes: int | None = None) -> None:
+    """Append with rows that are near on the map in the same files and row groups.
+
+    Rows are dealt out by ranges of the key of a space-filling curve over two bin
+    columns and sorted by it, so a filter on a box of bins reads few row groups:
+    their minima and maxima are narrow in both axes. A bin with very many rows
+    is spread over tasks by a hash of the row.
+    """
+    kept = _projected(rows, columns, ())
+    order = [geo.curve_key(F.col(bins[0]), F.col(bins[1])), F.xxhash64(*[c for c, kind in kept.dtypes if "map<" not in kind])]
+    writer = kept.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("append")
+    if row_group_bytes:
+        writer = writer.option("parquet.block.size", row_group_bytes)
+    writer.parquet(path)
+
+
+def trips_in_box(trips: DataFrame, low: tuple[int, int], high: tuple[int, int], bins: tuple[str, str] = ("bin_0", "bin_1")) -> DataFrame:
+    """Rows of a table with bin columns that lie in a box of bins, borders included; both ranges reach the scan."""
+    return trips.where(F.col(bins[0]).between(low[0], high[0]) & F.col(bins[1]).between(low[1], high[1]))
+
+
 def append_stream(rows: DataFrame, path: str, checkpoint: str, columns: tuple[str, ...] | None = None,
                   partition_by: tuple[str, ...] = (), trigger: dict | None = None,
                   name: str | None = None) -> StreamingQuery:
