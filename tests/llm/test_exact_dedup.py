@@ -7,6 +7,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from hopgrid.llm import exact_dedup
 from hopgrid.llm.queries import QUERIES
@@ -60,7 +61,7 @@ def test_extra_columns_and_empty_table(spark):
 @pytest.mark.parametrize("capacity", [1, 3, 50])
 def test_directory_splits_overfull_buckets(spark, capacity):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(300)], "doc_id long, text string")
-    entries = exact_dedup.hash_entries(docs)
+    entries = exact_dedup.map_entries(docs)
     keys = [r.key % (1 << 64) for r in entries.select("key").collect()]
     held = lambda prefix, depth: sum(k >> (64 - depth) == prefix if depth else True for k in keys)
     for slot in exact_dedup.directory(entries, capacity).collect():
@@ -70,6 +71,37 @@ def test_directory_splits_overfull_buckets(spark, capacity):
         assert not slot.depth or held(slot.slot >> shift >> 1, slot.depth - 1) > capacity  # no split that was not needed
 
 
+def test_equal_keys_are_chained_and_compared(spark, monkeypatch):
+    """Three keys for all texts: only the bytes tell them apart."""
+    monkeypatch.setattr(exact_dedup, "key_of", lambda norm: F.pmod(F.xxhash64(norm), F.lit(3)))
+    docs = spark.createDataFrame(ROWS, "doc_id long, text string").repartition(5)
+    assert found(exact_dedup.exact_duplicates(docs)) == expected(ROWS)
+    slots = exact_dedup.directory(exact_dedup.hash_probes(docs))
+    index = exact_dedup.build_index(exact_dedup.map_entries(docs), slots).collect()
+    assert len(index) == len({normal(t) for _, t in ROWS}) and max(r.chain for r in index) > 0
+    assert len({(r.bucket, r.key, r.chain) for r in index}) == len(index)
+    stays = exact_dedup.drop_exact_duplicates(docs).collect()
+    assert sorted((r.doc_id for r in stays), key=repr) == sorted((r[0] for r in expected(ROWS) if r[3]), key=repr)
+
+
+def test_owners_finish_groups_and_the_directory_places_them(spark, monkeypatch):
+    """Copies reach the owner from several parts; a directory that misses a slot loses its rows."""
+    rows = [(i, "the same" if i % 3 == 0 else f"text {i % 50}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    entries = exact_dedup.map_entries(docs)
+    assert entries.where("norm = 'the same'").count() > 1
+    slots = exact_dedup.directory(entries, 4).collect()
+    assert len({s.bucket for s in slots}) > 8
+    kind = "slot int, depth int, bucket int"
+    whole = exact_dedup.build_index(entries, spark.createDataFrame(slots, kind))
+    assert {(r.keep_id, r.group_size) for r in whole.collect()} == {(r[1], r[2]) for r in expected(rows)}
+    part = exact_dedup.build_index(entries, spark.createDataFrame(slots[1:], kind))
+    assert part.count() < whole.count()
+    # The third of all rows is broadcast, the rest is looked up.
+    monkeypatch.setattr(exact_dedup, "HOT_ENTRIES", 4)
+    assert found(exact_dedup.exact_duplicates(docs)) == expected(rows)
+
+
 def test_only_native_functions_on_the_way(spark):
     frame = QUERIES["op8_exact_dedup"](spark, "/root/testdata/sf0.001")
     text = frame._sc._jvm.PythonSQLUtils.explainString(frame._jdf.queryExecution(), "formatted")
