@@ -76,24 +76,37 @@ def map_entries(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def directory(entries: DataFrame, capacity: int = BUCKET_ENTRIES) -> DataFrame:
-    """Slots of depth MAX_DEPTH with the bucket each belongs to: slot, depth, bucket.
+    """The slots with the bucket each belongs to: slot, depth, bucket (slot and bucket as MAX_DEPTH bits).
 
-    The local depth of a slot is the smallest one at which its prefix holds no
-    more than ``capacity`` different keys: what splitting overfull buckets bit by
-    bit ends with. Buckets that are still overfull at MAX_DEPTH stay as they are.
+    A bucket's depth is the smallest one at which its prefix holds no more than
+    ``capacity`` different keys: what splitting overfull buckets bit by bit ends
+    with. Buckets that are still overfull at MAX_DEPTH stay as they are. There are
+    2**(depth of the deepest bucket) slots, less those of prefixes without a key.
     """
     counts = entries.select("key").distinct().groupBy(_slot("key").alias("slot")).agg(F.count("*").alias("n"))
-    spread = counts.select("slot", "n", F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))).alias("depth"))
-    spread = spread.withColumn("prefix", F.expr(f"shiftrightunsigned(slot, {MAX_DEPTH} - depth)"))
-    sizes = spread.groupBy("depth", "prefix").agg(F.sum("n").alias("size"))
-    fits = spread.join(sizes, ["depth", "prefix"]).where((F.col("size") <= capacity) | (F.col("depth") == MAX_DEPTH))
-    return (fits.groupBy("slot").agg(F.min("depth").alias("depth"))
-            .withColumn("bucket", F.expr(f"shiftleft(shiftrightunsigned(slot, {MAX_DEPTH} - depth), {MAX_DEPTH} - depth)")))
+    spread = counts.select("n", "slot", F.explode(F.sequence(F.lit(0), F.lit(MAX_DEPTH))).alias("depth"))
+    sizes = spread.groupBy("depth", F.expr(f"shiftrightunsigned(slot, {MAX_DEPTH} - depth)").alias("prefix")).agg(F.sum("n").alias("size"))
+    overfull = (F.col("size") > capacity) & (F.col("depth") < MAX_DEPTH)
+    # A split prefix has two children, so no key of this join has more than two rows.
+    split = sizes.where(overfull).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("parent"))
+    fits = sizes.where(~overfull).withColumn("parent", F.shiftright("prefix", 1))
+    buckets = stored(fits.where("depth = 0").unionByName(fits.join(split, ["depth", "parent"], "left_semi").select(fits.columns)).select(
+        "depth", F.expr(f"shiftleft(prefix, {MAX_DEPTH} - depth)").alias("bucket")), "hash-buckets")
+    deepest = _deepest(buckets)
+    steps = F.explode(F.expr(f"sequence(0, shiftleft(1, {deepest} - depth) - 1)")).alias("step")
+    return buckets.select("depth", "bucket", steps).select(
+        F.expr(f"bucket + shiftleft(step, {MAX_DEPTH - deepest})").alias("slot"), "depth", "bucket")
+
+
+def _deepest(buckets: DataFrame) -> int:
+    return buckets.agg(F.max("depth")).first()[0] or 0
 
 
 def _in_buckets(rows: DataFrame, slots: DataFrame) -> DataFrame:
     """``rows`` with the bucket and depth the directory (at most 2**MAX_DEPTH rows) has for their keys."""
-    return rows.withColumn("slot", _slot("key")).join(F.broadcast(slots), "slot").drop("slot")
+    unused = MAX_DEPTH - _deepest(slots)
+    slot = F.shiftleft(F.shiftright(_slot("key"), unused), unused)
+    return rows.withColumn("slot", slot).join(F.broadcast(slots), "slot").drop("slot")
 
 
 def build_index(entries: DataFrame, slots: DataFrame) -> DataFrame:
