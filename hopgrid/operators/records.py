@@ -12,11 +12,15 @@ from hopgrid.sources.routes import coordinate_numbers, is_coordinate_line
 def driver_rows(drivers: DataFrame, *, dedupe: bool = False) -> DataFrame:
     """Rows of the ``drivers`` table; nobody is aboard unless the message says so.
 
-    ``dedupe`` is for streams, see ``passenger_rows``; figures count distinct cars anyway.
+    With ``dedupe`` one row per car as in ``passenger_rows``.
     """
     aboard = F.coalesce("passengers", F.lit(0)) if "passengers" in drivers.columns else F.lit(0)
-    once = _once(drivers, "plate_id") if dedupe else drivers
-    return once.select("plate_id", "seats", aboard.alias("passengers"))
+    if not dedupe or drivers.isStreaming:
+        rows = _once(drivers, "plate_id") if dedupe else drivers
+        return rows.select("plate_id", "seats", aboard.alias("passengers"))
+    row = F.struct(F.col("seats"), aboard.alias("passengers"))
+    first = F.min_by(row, F.struct("ts", row)).alias("row")
+    return drivers.groupBy("plate_id").agg(first).select("plate_id", "row.seats", "row.passengers")
 
 
 def passenger_rows(passengers: DataFrame, *, dedupe: bool = False) -> DataFrame:
@@ -38,8 +42,6 @@ def passenger_rows(passengers: DataFrame, *, dedupe: bool = False) -> DataFrame:
 
 
 def _once(messages: DataFrame, key: str) -> DataFrame:
-    if not messages.isStreaming:
-        return messages.dropDuplicates([key])
     return messages.dropDuplicatesWithinWatermark([key])
 
 

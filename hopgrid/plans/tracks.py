@@ -98,19 +98,28 @@ def kml_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet").select(doc.alias("route"), content.alias("content"))
 
 
-def kml_files_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _kml_folder(spark: SparkSession, sf_dir: str, between: str) -> str:
     """Files of events, a thousand to a file: those of even thousands are named .kml, the others .txt, in one folder."""
     event, folder = F.col("event_id"), work_dir(spark, "kml-files")
     point = F.concat_ws(",", (F.lit(-0.37) - (event % 997) * F.lit(0.00005)).cast("string"),
                         (F.lit(39.47) + (event % 613) * F.lit(0.00003)).cast("string"), F.lit("0"))
     block = F.floor(event / 1000)
-    points = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(event.alias("n"), point.alias("p")))), lambda x: x["p"]), " ")
+    points = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(event.alias("n"), point.alias("p")))), lambda x: x["p"]), between)
     texts = e.read_events(spark, sf_dir).groupBy(block.alias("block")).agg(F.concat(
         F.lit("<kml><Placemark><LineString><coordinates>"), points, F.lit("</coordinates></LineString></Placemark></kml>")).alias("text"))
     for name, rest in (("kml", 0), ("txt", 1)):
         texts.where(F.col("block") % 2 == rest).select("text").write.option("maxRecordsPerFile", 1).text(f"{folder}/{name}")
     rename_files(spark, f"{folder}/kml", "part-*.txt", f"{folder}/txt", ".kml")
-    return route_files.course_points(route_files.read_route_files(spark, f"{folder}/txt")).drop("route")
+    return f"{folder}/txt"
+
+
+def kml_files_selected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return route_files.course_points(route_files.read_route_files(spark, _kml_folder(spark, sf_dir, " "))).drop("route")
+
+
+def kml_files_scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files with a point to a line, read in splits."""
+    return route_files.scan_course_points(spark, _kml_folder(spark, sf_dir, "\n")).drop("route")
 
 
 def kml_course_points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,6 +202,7 @@ QUERIES = {
     "bounding_box": bounding_box,
     "corner_boxes": corner_boxes,
     "kml_files_selected": kml_files_selected,
+    "kml_files_scanned": kml_files_scanned,
     "kml_course_points": kml_course_points,
     "kml_document_points": kml_document_points,
     "coordinate_payment": coordinate_payment,
@@ -238,6 +248,10 @@ moved AS (SELECT plate_id AS id, lon - (event_id % 997) * 0.00005::double AS lon
                  lat + (event_id % 613) * 0.00003::double AS lat, xor(event_id, 4095) AS stamp FROM d)
 SELECT arg_max(lon, stamp) AS lon, arg_max(lat, stamp) AS lat"""
 
+_FILES_SQL = """SELECT cast(row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) - 1 AS integer) AS idx,
+       -0.37::double - (event_id % 997) * 0.00005::double AS lon, 39.47::double + (event_id % 613) * 0.00003::double AS lat
+FROM events WHERE event_id // 1000 % 2 = 0"""
+
 ORACLES = {
     "route_segments": f"""WITH {e.COURSE_SQL}
 SELECT route, idx, lon, lat, next_lon, next_lat, round({_KM}, 6) AS segment_km FROM seg WHERE next_lon IS NOT NULL""",
@@ -264,9 +278,8 @@ SELECT event_id, least(lon, drop_0, drop_0 - 0.25::double) AS min_0,
        greatest(lon, drop_0, drop_0 - 0.25::double) AS max_0,
        least(lat, drop_1, drop_1 + 0.25::double) AS min_1,
        greatest(lat, drop_1, drop_1 + 0.25::double) AS max_1 FROM ev2""",
-    "kml_files_selected": """SELECT cast(row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) - 1 AS integer) AS idx,
-       -0.37::double - (event_id % 997) * 0.00005::double AS lon, 39.47::double + (event_id % 613) * 0.00003::double AS lat
-FROM events WHERE event_id // 1000 % 2 = 0""",
+    "kml_files_selected": _FILES_SQL,
+    "kml_files_scanned": _FILES_SQL,
     "kml_course_points": f"SELECT doc_id AS route, cast(i AS integer) AS idx, {_KML_POINT} {_KML}",
     "kml_document_points": f"""SELECT doc_id AS route, cast(i AS integer) AS idx, {_KML_POINT},
        0.0::double AS altitude {_KML}""",

@@ -99,6 +99,9 @@ def test_table_rows(spark):
     assert rows.first()["location"].asDict() == {"longitude": 39.45879, "latitude": -0.34471}
     once = records.passenger_rows(passengers, dedupe=True).collect()
     assert len(once) == 1 and once[0]["ride_offer"] == 2.55
+    later = drivers.withColumns({"seats": F.lit(1), "ts": F.col("ts") + F.expr("interval 1 minute")})
+    for both in (later.union(drivers), drivers.union(later).repartition(3)):
+        assert [tuple(r) for r in records.driver_rows(both, dedupe=True).collect()] == [("AB12", 5, 0)]
     text = records.to_json_messages(drivers.select(*s.DRIVER_FIELDS), F.col("plate_id")).first()
     assert text["key"] == "AB12" and json.loads(text["value"]) == DRIVER
 

@@ -36,6 +36,47 @@ def folder(tmp_path):
     return str(tmp_path)
 
 
+def route_text(rng: random.Random, points: int, odd: str = "") -> str:
+    """A document whose first placemark may lack a route, and whose lines are cut anywhere between points."""
+    track = "".join(f"{rng.uniform(-1, 1):.6f},{rng.uniform(39, 40):.6f},0" + rng.choice([" ", "\n", "\r\n", "\n\t "])
+                    for _ in range(points))
+    body = rng.choice(["<LineString>{}</LineString>", "<x:MultiGeometry>\n<x:LineString>{}</x:LineString></x:MultiGeometry>"])
+    tag = rng.choice(["coordinates", "x:coordinates"])
+    mark = f"<Placemark\n id='1'><name>a, b</name>{body.format(f'<{tag}>{track}</{tag}>')}</Placemark>"
+    pins = "<Placemark><Point><coordinates>7,8,9</coordinates></Point></Placemark>"
+    first = rng.choice(["", "<coordinates>5,5,5</coordinates>", "<Folder/>\n", "<Placemarks><coordinates/></Placemarks>"])
+    return f"<kml xmlns:x='u'><Document>{first}{odd}{mark}\n{pins}</Document></kml>"
+
+
+def test_files_read_in_splits_give_the_points_of_whole_documents(spark, tmp_path):
+    rng = random.Random(5)
+    texts = {f"r{i} +.kml": route_text(rng, rng.choice([0, 1, 30, 400])) for i in range(12)}
+    texts |= {"long.kml": route_text(rng, 3000), "none.kml": "<kml/>", "empty.kml": "",
+              "bare.kml": "<kml><Placemark/><Placemark><coordinates>1,2</coordinates></Placemark></kml>",
+              "closed.kml": "<kml><Placemark><coordinates/></Placemark><Placemark><coordinates>1,2</coordinates></Placemark></kml>",
+              "comment.kml": route_text(rng, 50, "<!-- <Placemark><coordinates>0,0\n</coordinates></Placemark> -->"),
+              "cdata.kml": route_text(rng, 50, "<description><![CDATA[<Placemark>]]></description>"),
+              "words.kml": "<kml><Placemark><coordinates>\none,two 1d,2f\n3,4</coordinates></Placemark></kml>", "skipped.txt": route_text(rng, 5)}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    rows = lambda frame: sorted((tuple(r) for r in frame.collect()), key=repr)
+    whole = rows(files.course_points(files.read_route_files(spark, str(tmp_path)).where("content <> ''")))
+    sizes = {"spark.sql.files.maxPartitionBytes": "3000", "spark.sql.files.openCostInBytes": "0"}
+    before = {key: spark.conf.get(key) for key in sizes}
+    try:
+        for key, value in sizes.items():
+            spark.conf.set(key, value)
+        scanned = rows(files.scan_course_points(spark, str(tmp_path)))
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(whole) > 3000 and scanned == whole
+    none = tmp_path / "sub"
+    none.mkdir()
+    with pytest.raises(FileNotFoundError):
+        files.scan_course_points(spark, str(none))
+
+
 def test_route_files(spark, folder, tmp_path_factory):
     documents = files.read_route_files(spark, folder)
     points = files.course_points(documents)
