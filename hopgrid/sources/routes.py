@@ -64,9 +64,9 @@ def scan_course_points(spark: SparkSession, path: str) -> DataFrame:
     """``course_points`` of every ``.kml`` file without a document in memory.
 
     Files are read as lines, in splits: a large file is worked on by many tasks,
-    and none holds more than a line and a sort that may spill. A first pass finds
+    and none holds more than a stretch and a sort that may spill. A first pass finds
     the tags and where the first placemark's first coordinates begin and end; a second
-    takes the lines between. Points are numbered by adding up counts per split.
+    takes the lines between. Points are numbered by adding up counts per stretch of 4096 lines.
     Only files with an ``ODD_LINE`` are put together and parsed whole. Lines are the
     unit, so a route on one line is not cut; text that is not well-formed XML is no error.
     """
@@ -84,11 +84,13 @@ def scan_course_points(spark: SparkSession, path: str) -> DataFrame:
         (F.struct("split", "line", "piece") >= F.col("begin")) & (F.struct("split", "line", "piece") < F.col("end")))
     tokens = F.filter(F.split("text", r"\s+"), lambda token: token != "")
     runs = inside.select("file", "split", "line", "piece", tokens.alias("tokens")).where(F.size("tokens") > 0)
-    sizes = runs.groupBy("file", "split").agg(F.sum(F.size("tokens")).alias("size"))
-    before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("file", "split", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
-    earlier = Window.partitionBy("file", "split").orderBy("line", "piece").rowsBetween(Window.unboundedPreceding, -1)
-    placed = runs.withColumn("earlier", F.coalesce(F.sum(F.size("tokens")).over(earlier), F.lit(0))).join(starts, ["file", "split"])
+    runs = runs.withColumn("stretch", F.shiftright("line", 12))
+    sizes = runs.groupBy("file", "split", "stretch").agg(F.sum(F.size("tokens")).alias("size"))
+    before = Window.partitionBy("file").orderBy("split", "stretch").rowsBetween(Window.unboundedPreceding, -1)
+    starts = _kept(sizes.select("file", "split", "stretch", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start")), "route-starts")
+    earlier = Window.partitionBy("file", "split", "stretch").orderBy("line", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    placed = runs.withColumn("earlier", F.coalesce(F.sum(F.size("tokens")).over(earlier), F.lit(0))).join(
+        starts, ["file", "split", "stretch"])
     scanned = placed.select("file", "start", "earlier", F.posexplode("tokens").alias("place", "token")).select(
         _file_name("file").alias("route"), (F.col("start") + F.col("earlier") + F.col("place")).cast("int").alias("idx"), "token")
 
