@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from hopgrid.session import work_dir
@@ -50,6 +51,19 @@ def text_blocks(texts: list, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, in
         yield start, len(texts)
 
 
+def batch_slices(batch: pa.RecordBatch, name: str, limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
+    """A batch in consecutive parts with about ``limit`` bytes of text in the column ``name`` each; every row is in one part."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index(name))), 0).to_numpy(zero_copy_only=False)
+    start, size = 0, 0
+    for i, own in enumerate(sizes.tolist()):
+        if size and size + own > limit:
+            yield batch.slice(start, i - start)
+            start, size = i, 0
+        size += own
+    if start < batch.num_rows:
+        yield batch.slice(start)
+
+
 def numbered(rows: DataFrame, group: list[str], order: list[str], purpose: str) -> DataFrame:
     """``rows`` with ``group_id``, ``place`` in the group by ``order`` (from 0) and ``size`` of the group.
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from hopgrid.llm.common import held_out, text_blocks
+from hopgrid.llm.common import batch_slices, held_out, text_blocks
 
 PROFILE = 400      # n-grams of a profile
 OWN = 300          # n-grams of a document
@@ -168,9 +168,10 @@ def drop_unidentified(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 
     def known(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
-            names, scores = model.predict(texts)
-            known_ = [n != UNKNOWN and s > 0 for n, s in zip(names, scores)] if model.langs else [bool(t and LETTER.search(t)) for t in texts]
-            yield batch.filter(pa.array(known_, pa.bool_()))
+            for part in batch_slices(batch, text, PREDICT_BYTES):
+                texts = part.column(part.schema.get_field_index(text)).to_pylist()
+                names, scores = model.predict(texts)
+                known_ = [n != UNKNOWN and s > 0 for n, s in zip(names, scores)] if model.langs else [bool(t and LETTER.search(t)) for t in texts]
+                yield part.filter(pa.array(known_, pa.bool_()))
 
     return docs.mapInArrow(known, docs.schema)

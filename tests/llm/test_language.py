@@ -6,7 +6,9 @@ import re
 import zlib
 from collections import Counter
 
-from hopgrid.llm import language
+import pyarrow as pa
+
+from hopgrid.llm import common, language
 
 WORDS = {"aa": "the of and tion ing her", "bb": "der und schön über keit", "cc": "que él ción los año"}
 
@@ -65,3 +67,12 @@ def test_nothing_to_learn(spark):
     frame = spark.createDataFrame([(1, "a text", None)], "doc_id long, text string, lang string")
     assert [r.lang_pred for r in language.identify(frame).collect()] == ["und"]
     assert language.identify(frame.where("false")).count() == 0
+
+
+def test_batches_are_cut_by_bytes_without_losing_rows():
+    texts = ["a" * 10, None, "", "é" * 30, "b", None, "c" * 100, "d"]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "n": list(range(8))})
+    parts = list(common.batch_slices(batch, "text", 50))
+    assert [v for p in parts for v in p.column(1).to_pylist()] == list(range(8))
+    assert all(sum(len((t or "").encode()) for t in p.column(0).to_pylist()) <= 50 or p.num_rows == 1 for p in parts)
+    assert list(common.batch_slices(batch.slice(0, 0), "text")) == []
