@@ -72,10 +72,12 @@ def _passenger_side(passengers: DataFrame, keys: Sequence[str], carry: Sequence[
 
 def pair_by_bin(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig = PRICED, *,
                 priced: bool = True, carry: Sequence[str] = ()) -> DataFrame:
-    """Pairs in the same window and bin, with ``priced`` only at compatible offers."""
+    """Pairs in the same window and bin, with ``priced`` only at compatible offers, and then with their prices."""
     keys = [SLOT, "bin_0", "bin_1"]
     left = _driver_side(with_bins(with_window(drivers, cfg), cfg), keys, carry)
     right = _passenger_side(with_bins(with_window(passengers, cfg), cfg), keys, carry)
+    if priced:  # prices hang on the passenger alone: reckoned once per message, not once per pair
+        right = right.withColumns(_prices(F.col("passenger_offer")))
     compatible = pricing.offers_compatible(F.col("driver_offer"), F.col("passenger_offer"), cfg.min_offer_share)
     return balanced_join(left, right, keys, cfg.split, compatible if priced else None,
                          stream_parts=cfg.stream_parts, crowded=cfg.crowded)
@@ -121,6 +123,10 @@ def pair_within_tolerance(drivers: DataFrame, passengers: DataFrame, cfg: MatchC
                          stream_parts=cfg.stream_parts, crowded=cfg.crowded)
 
 
+def _prices(offer: Column) -> dict[str, Column]:
+    return {"cost": pricing.customer_cost(offer), "company_margin": pricing.company_margin(offer)}
+
+
 def _near(tolerance: float) -> Column:
     return geo.within_tolerance(F.col("driver_0"), F.col("driver_1"),
                                 F.col("passenger_0"), F.col("passenger_1"), tolerance)
@@ -130,7 +136,7 @@ def _trip_id(pairs: DataFrame, cfg: MatchConfig) -> Column:
     if cfg.trip_ids == "random":
         return identity.random_trip_id()
     window = F.col(SLOT)["start"] if pairs.isStreaming else F.col(SLOT)
-    names = [n for n in pairs.columns if n != SLOT]
+    names = [n for n in pairs.columns if n not in (SLOT, *_prices(F.lit(0.0)))]
     return identity.stable_trip_id(F.unix_micros(window), *[F.col(n) for n in names])
 
 
@@ -154,16 +160,13 @@ def match_priced(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig = P
     ``geographic`` adds the distance and the pickup text with longitude first.
     """
     pairs = pair_by_bin(drivers, passengers, cfg, carry=carry)
-    offer = F.col("passenger_offer")
     trips = pairs.withColumns({
         "trip_id": _trip_id(pairs, cfg),
         "bin_key": geo.bin_key(F.col("bin_0"), F.col("bin_1")),
         **_places(),
         "travelled_distance": pricing.round_money(_distance()),
         "status": F.lit(c.STATUS_MATCHED),
-        "cost": pricing.customer_cost(offer),
-        "company_margin": pricing.company_margin(offer),
-        "accepted_offer": offer,
+        "accepted_offer": F.col("passenger_offer"),
     })
     extra = []
     if geographic:

@@ -162,3 +162,11 @@ def test_known_crowded_bins_are_cut_without_counting(spark, monkeypatch):
     assert found(trips) == pairs(drivers, passengers, 15, lambda d, p: same_bin(d, p) and compatible(d, p))
     with pytest.raises(ValueError):
         m.match_exact(*sides, dataclasses.replace(EXACT, crowded=bins))
+
+
+def test_prices_are_reckoned_once_per_passenger(spark):
+    """Costs lie below the join in the plan: a crowded bin does not reckon them anew for every pair."""
+    sides = frames(spark, *crowd(8, 60, 6))
+    costs = m.match_priced(*sides, carry=["event_id"]).select("driver_event_id", "cost", "company_margin")
+    above, below = costs._jdf.queryExecution().optimizedPlan().toString().split("Join Inner", 1)
+    assert "transform(" not in above and "transform(" in below
