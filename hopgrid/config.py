@@ -67,6 +67,8 @@ class MatchConfig:
     # Known crowded keys, as ``match.crowded_bins`` gives them: a stream cuts these further, a batch join counts no keys.
     crowded: DataFrame | None = field(default=None, compare=False)
     split: SplitPolicy = field(default_factory=SplitPolicy)
+    # Streams join packs of rows; the watermark is then set on the packs, so the matchers take frames without one.
+    packs: bool = False
 
     @property
     def window_length(self) -> str:

@@ -16,9 +16,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from hopgrid import config as c
 from hopgrid.config import EXACT, PRICED, MatchConfig
 from hopgrid.functions import geo, identity, pricing
+from hopgrid.operators.packs import packed
 from hopgrid.operators.skew import balanced_join, hot_keys
 
 SLOT = "match_window"
+TIME = "_message_time"
 TRIP_COLUMNS = (
     "trip_id", "bin_key", "driver_id", "passenger_id", "pickup_location", "dropoff_location",
     "travelled_distance", "status", "cost", "company_margin", "accepted_offer",
@@ -53,18 +55,33 @@ def _at(column: str, position: int) -> Column:
     return F.get(F.col(column), F.lit(position))
 
 
-def _driver_side(drivers: DataFrame, keys: Sequence[str], carry: Sequence[str]) -> DataFrame:
+def _time(messages: DataFrame, cfg: MatchConfig) -> list[Column]:
+    return [F.col("ts").alias(TIME)] if messages.isStreaming and cfg.packs else []
+
+
+def _joined(left: DataFrame, right: DataFrame, keys: list[str], cfg: MatchConfig, condition: Column | None) -> DataFrame:
+    def pack(side: DataFrame, on: list[str], name: str) -> DataFrame:
+        """A pack lies in one window, that of its newest message; by that message's time it is also late or not."""
+        starts = side.withColumn(SLOT, F.col(SLOT)["start"])
+        timed = packed(starts, on, TIME, name).withWatermark(TIME, cfg.lateness)
+        return timed.withColumn(SLOT, F.window(TIME, cfg.window_length)).drop(TIME)
+
+    return balanced_join(left, right, keys, cfg.split, condition, stream_parts=cfg.stream_parts, crowded=cfg.crowded,
+                         pack=pack if cfg.packs else None)
+
+
+def _driver_side(drivers: DataFrame, keys: Sequence[str], carry: Sequence[str], cfg: MatchConfig) -> DataFrame:
     """Only what the pairs need; the rest would travel through the shuffle."""
     offer = F.col("ride_offer") if "ride_offer" in drivers.columns else F.lit(None).cast("double")
     return drivers.select(
-        *keys, F.col("plate_id").alias("driver_id"), offer.alias("driver_offer"),
+        *keys, *_time(drivers, cfg), F.col("plate_id").alias("driver_id"), offer.alias("driver_offer"),
         _at("location", 0).alias("driver_0"), _at("location", 1).alias("driver_1"),
         *[F.col(name).alias(f"driver_{name}") for name in carry])
 
 
-def _passenger_side(passengers: DataFrame, keys: Sequence[str], carry: Sequence[str]) -> DataFrame:
+def _passenger_side(passengers: DataFrame, keys: Sequence[str], carry: Sequence[str], cfg: MatchConfig) -> DataFrame:
     return passengers.select(
-        *keys, "passenger_id", F.col("ride_offer").alias("passenger_offer"),
+        *keys, *_time(passengers, cfg), "passenger_id", F.col("ride_offer").alias("passenger_offer"),
         _at("location", 0).alias("passenger_0"), _at("location", 1).alias("passenger_1"),
         _at("dropoff_location", 0).alias("dropoff_0"), _at("dropoff_location", 1).alias("dropoff_1"),
         *[F.col(name).alias(f"passenger_{name}") for name in carry])
@@ -74,13 +91,12 @@ def pair_by_bin(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig = PR
                 priced: bool = True, carry: Sequence[str] = ()) -> DataFrame:
     """Pairs in the same window and bin, with ``priced`` only at compatible offers, and then with their prices."""
     keys = [SLOT, "bin_0", "bin_1"]
-    left = _driver_side(with_bins(with_window(drivers, cfg), cfg), keys, carry)
-    right = _passenger_side(with_bins(with_window(passengers, cfg), cfg), keys, carry)
+    left = _driver_side(with_bins(with_window(drivers, cfg), cfg), keys, carry, cfg)
+    right = _passenger_side(with_bins(with_window(passengers, cfg), cfg), keys, carry, cfg)
     if priced:  # prices hang on the passenger alone: reckoned once per message, not once per pair
         right = right.withColumns(_prices(F.col("passenger_offer")))
     compatible = pricing.offers_compatible(F.col("driver_offer"), F.col("passenger_offer"), cfg.min_offer_share)
-    return balanced_join(left, right, keys, cfg.split, compatible if priced else None,
-                         stream_parts=cfg.stream_parts, crowded=cfg.crowded)
+    return _joined(left, right, keys, cfg, compatible if priced else None)
 
 
 def pair_by_location(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig = EXACT, *,
@@ -88,10 +104,9 @@ def pair_by_location(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig
     """Pairs in the same window at the identical location."""
     keys = [SLOT, "at_0", "at_1"]
     place = {"at_0": _at("location", 0), "at_1": _at("location", 1)}
-    left = _driver_side(with_window(drivers, cfg).withColumns(place), keys, carry)
-    right = _passenger_side(with_window(passengers, cfg).withColumns(place), keys, carry)
-    return balanced_join(left, right, keys, cfg.split, _near(cfg.tolerance),
-                         stream_parts=cfg.stream_parts, crowded=cfg.crowded)
+    left = _driver_side(with_window(drivers, cfg).withColumns(place), keys, carry, cfg)
+    right = _passenger_side(with_window(passengers, cfg).withColumns(place), keys, carry, cfg)
+    return _joined(left, right, keys, cfg, _near(cfg.tolerance))
 
 
 def pair_within_tolerance(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig = EXACT, *,
@@ -114,13 +129,12 @@ def pair_within_tolerance(drivers: DataFrame, passengers: DataFrame, cfg: MatchC
 
     left = _driver_side(
         with_window(drivers, cfg).withColumns({"cell_0": cell(_at("location", 0)), "cell_1": cell(_at("location", 1))}),
-        keys, carry)
+        keys, carry, cfg)
     right = _passenger_side(
         with_window(passengers, cfg).withColumn("cell_0", reached(_at("location", 0)))
         .withColumn("cell_1", reached(_at("location", 1))),
-        keys, carry)
-    return balanced_join(left, right, keys, cfg.split, _near(cfg.tolerance),
-                         stream_parts=cfg.stream_parts, crowded=cfg.crowded)
+        keys, carry, cfg)
+    return _joined(left, right, keys, cfg, _near(cfg.tolerance))
 
 
 def _prices(offer: Column) -> dict[str, Column]:

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from hopgrid.config import SplitPolicy
+from hopgrid.operators.packs import pairs_of_packs
 from hopgrid.session import work_dir
 
 LEFT_BLOCK, RIGHT_BLOCK = "_left_block", "_right_block"
+LEFT_PACK, RIGHT_PACK = "_left_pack", "_right_pack"
 GRID = ("left_parts", "right_parts")
 
 
@@ -110,7 +113,8 @@ def fixed_split(left: DataFrame, right: DataFrame, keys: list[str], parts: int,
 def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], policy: SplitPolicy,
                   condition: Column | None = None, *, stream_parts: int = 1,
                   crowded: DataFrame | None = None, semi: bool = False,
-                  sized_by: tuple[DataFrame, DataFrame | None] | None = None) -> DataFrame:
+                  sized_by: tuple[DataFrame, DataFrame | None] | None = None,
+                  pack: Callable[[DataFrame, list[str], str], DataFrame] | None = None) -> DataFrame:
     """Inner join on ``keys`` and ``condition``; every pair comes out exactly once.
 
     Column names other than the keys must differ between the sides. With
@@ -121,7 +125,8 @@ def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], policy: Sp
     then counted, so building the join starts no job and reads no input.
     ``sized_by`` names cheaper frames with the same keys to count hot keys on,
     so that an aggregated side is not computed twice; None on the right stands
-    for one row per key.
+    for one row per key. ``pack`` turns a side of a stream into packs by the join
+    keys, in the array column it is told; their pairs are unpacked after the join.
     """
     streaming = left.isStreaming or right.isStreaming
     if streaming or crowded is not None:
@@ -129,7 +134,11 @@ def balanced_join(left: DataFrame, right: DataFrame, keys: list[str], policy: Sp
     else:
         left, right, on = split_sides(left, right, keys, policy, sized_by or (left, right))
     if not semi:
-        joined = left.join(right, on, "inner")
+        if streaming and pack:
+            packs = pack(left, on, LEFT_PACK).join(pack(right, on, RIGHT_PACK), on, "inner")
+            joined = pairs_of_packs(packs, keys, LEFT_PACK, RIGHT_PACK)
+        else:
+            joined = left.join(right, on, "inner")
         joined = joined if condition is None else joined.where(condition)
         return joined.drop(LEFT_BLOCK, RIGHT_BLOCK)
     right = right.withColumnsRenamed({k: f"_right_{k}" for k in on})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
@@ -27,13 +28,18 @@ MATCHERS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
 
 def timed(messages: DataFrame, cfg: MatchConfig) -> DataFrame:
     """Arrival time as event time; messages later than the allowed lateness are discarded."""
-    return messages.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", cfg.lateness)
+    arrived = messages.withColumn("ts", F.col("ts").cast("timestamp"))
+    return arrived if cfg.packs else arrived.withWatermark("ts", cfg.lateness)
 
 
 def match_stream(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig = PRICED,
                  matcher: str = "priced", carry: Sequence[str] = ()) -> DataFrame:
-    """Streaming trips; a window's state goes once the watermark passes its end."""
+    """Streaming trips; a window's state goes once the watermark passes its end.
+
+    Where keys are cut they are crowded, and packs are joined instead of rows.
+    """
     function, _ = MATCHERS[matcher]
+    cfg = dataclasses.replace(cfg, packs=cfg.crowded is not None or cfg.stream_parts > 1)
     return function(timed(drivers, cfg), timed(passengers, cfg), cfg, carry=carry)
 
 
@@ -55,6 +61,8 @@ def collapsed_stream(drivers: DataFrame, passengers: DataFrame, cfg: MatchConfig
     """
     keys = [m.SLOT, "bin_0", "bin_1"]
 
+    cfg = dataclasses.replace(cfg, packs=False)
+
     def counted(messages: DataFrame, name: str, own_id: str) -> DataFrame:
         keyed = m.with_bins(m.with_window(timed(messages, cfg), cfg), cfg)
         return keyed.groupBy(*keys, F.col(own_id).alias(f"{name}_id"), F.col("ride_offer").alias(f"{name}_offer")).agg(

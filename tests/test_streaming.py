@@ -132,3 +132,26 @@ def test_work_dir_is_in_the_shared_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     one, two = work_dir(spark, "x"), work_dir(spark, "x")
     assert one.startswith(f"{base}/x-") and one != two
+
+
+def test_crowded_streams_keep_packs(spark, tmp_path):
+    """The state of a join on crowded keys has a row per pack, not per message, and goes with its window; no pair is lost."""
+    cfg = dataclasses.replace(PRICED, stream_parts=2)
+    drivers, passengers = [[kind(n, n % 10, -0.5, 39.6, 1.5) for n in range(400)] for kind in (driver, passenger)]
+    end = (400, 600, -0.1, 39.1)
+    late = (401, 3, -0.5, 39.6, 1.5)
+    streams, sides = [], []
+    for name, kind, rows, schema in (("d", driver, drivers, DRIVER), ("p", passenger, passengers, PASSENGER)):
+        for n, part in enumerate((rows, [kind(*end)], [kind(410, 700, -0.1, 39.1)], [kind(*late)])):
+            spark.createDataFrame(part, schema).coalesce(1).write.parquet(str(tmp_path / name / f"part={n}"))
+        sides.append(spark.createDataFrame([*rows, kind(*end), kind(410, 700, -0.1, 39.1)], schema))
+        streams.append(spark.readStream.schema(sides[-1].schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / name))
+                       .select(*sides[-1].columns))
+    trips = st.match_stream(*streams, cfg, "priced", ["event_id"])
+    ids = ["driver_event_id", "passenger_event_id"]
+    query = append_stream(trips, str(tmp_path / "t"), str(tmp_path / "cp"), tuple(ids), trigger=NOW)
+    query.awaitTermination()
+    stored = sorted(map(tuple, spark.read.parquet(str(tmp_path / "t")).select(*ids).collect()))
+    assert stored == sorted(map(tuple, m.match_priced(*sides, PRICED, carry=["event_id"]).select(*ids).collect())) and len(stored) == 160_002
+    rows = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
+    assert max(rows) <= 3 * 8 and rows[-1] < max(rows)
