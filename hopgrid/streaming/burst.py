@@ -132,7 +132,7 @@ def one_stream(drivers: DataFrame, passengers: DataFrame, carry: Sequence[str] =
 
 
 def start_burst_match(drivers: DataFrame, passengers: DataFrame, folder: str, checkpoint: str, cfg: MatchConfig = PRICED,
-                      carry: Sequence[str] = (), trigger: dict | None = None) -> StreamingQuery:
-    """Match two streams into ``folder``/trips; crowded bins are found as they come up."""
+                      carry: Sequence[str] = (), trigger: dict | None = None, columns: Sequence[str] = m.TRIP_COLUMNS) -> StreamingQuery:
+    """Match two streams into ``folder``/trips, with ``columns`` and the carried ones; crowded bins are found as they come up."""
     return (one_stream(drivers, passengers, carry).writeStream.option("checkpointLocation", checkpoint)
-            .foreachBatch(BurstMatcher(folder, cfg, carry=carry)).trigger(**(trigger or {"processingTime": "15 seconds"})).start())
+            .foreachBatch(BurstMatcher(folder, cfg, columns=columns, carry=carry)).trigger(**(trigger or {"processingTime": "15 seconds"})).start())

@@ -91,3 +91,15 @@ def test_collapse_on_the_stream(spark, tmp_path, files):
      .trigger(**NOW).start().awaitTermination())
     got = st.collapse_counts(spark.read.parquet(str(tmp_path / "t")))
     assert got.count() > 0 and sorted(map(tuple, got.collect())) == sorted(map(tuple, batch.select(*got.columns).collect()))
+
+
+def test_burst_writes_the_columns_asked_for(spark, tmp_path):
+    """Ids and texts that nobody asked for are not formed for every pair of a burst."""
+    drivers, passengers = frames(spark, *crowd(6, 60, 2))
+    streams = [feed(spark, str(tmp_path / name), frame, 1) for name, frame in (("d", drivers), ("p", passengers))]
+    folder = str(tmp_path / "out")
+    burst.start_burst_match(*streams, folder, str(tmp_path / "cp"), CFG, ["event_id"], NOW, columns=["cost"]).awaitTermination()
+    trips = spark.read.parquet(f"{folder}/trips").drop("batch")
+    assert sorted(trips.columns) == ["cost", *IDS]
+    batch = m.match_priced(drivers, passengers, PRICED, carry=["event_id"]).select(*trips.columns)
+    assert trips.count() > 0 and trips.exceptAll(batch).count() == batch.exceptAll(trips).count() == 0
