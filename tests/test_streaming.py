@@ -155,3 +155,19 @@ def test_crowded_streams_keep_packs(spark, tmp_path):
     assert stored == sorted(map(tuple, m.match_priced(*sides, PRICED, carry=["event_id"]).select(*ids).collect())) and len(stored) == 160_002
     rows = [p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators]
     assert max(rows) <= 3 * 8 and rows[-1] < max(rows)
+
+
+def test_late_steps_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
+    """No step of the late stream passes through one task; nothing late finds a partner."""
+    from hopgrid.plans import events, matching
+    rows = spark.range(0, 400, 1, 4).selectExpr(
+        "id AS event_id", "timestamp_seconds(id) AS ts", "id % 3 AS user_id",
+        "element_at(array('click', 'purchase'), cast(id % 2 AS int) + 1) AS event_type", "1.0D AS value", "'' AS props")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(matching, "work_dir", lambda spark, purpose: str(tmp_path / purpose))
+    found = sorted(map(tuple, matching.stream_late_discarded(spark, str(tmp_path)).select(*matching.IDS).collect()))
+    trips = m.match_priced(*events.messages(spark, str(tmp_path)), carry=["event_id"])
+    assert found == sorted(map(tuple, trips.select(*matching.IDS).collect())) and found
+    for side in (0, 1):
+        assert len(list((tmp_path / "late" / f"arriving-{side}" / "part=00").glob("part-*.parquet"))) == 4
+        assert len(list((tmp_path / "late" / f"arriving-{side}" / "part=20").glob("part-*.parquet"))) == 4
